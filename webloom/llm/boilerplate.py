@@ -12,6 +12,7 @@ from __future__ import annotations
 import html as entities
 import re
 import zlib
+from functools import lru_cache
 from itertools import pairwise
 
 import numpy as np
@@ -38,6 +39,7 @@ WORD = re.compile(r"\w+", re.U)
 VOID = frozenset("br hr img input meta link area base col embed source track wbr".split())
 
 
+@lru_cache(1 << 17)
 def feature(name: str) -> int:
     return zlib.crc32(name.encode()) % WIDTH
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.llm import capping, encoding, repeats, residue
+from webloom.llm import boilerplate, capping, encoding, repeats, residue
 from webloom.sources.tables import load
 
 
@@ -96,6 +96,12 @@ WITH latest AS (
 P6_FOUND = P6_RANKED + "SELECT page_id FROM r WHERE position > n"
 P6_KEPT = P6_RANKED + "SELECT page_id, domain, CAST(position AS BIGINT) AS position FROM r WHERE position <= n"
 
+def p7_found(spark: SparkSession, root: str) -> DataFrame:
+    pages = load(spark, root, "pages", "page_id", "fetch_id", "content")
+    fetched = load(spark, root, "fetch_results", "fetch_id", "html")
+    return boilerplate.find_boilerplate(pages, fetched, "page_id", "fetch_id")
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p2_found": p2_found,
@@ -104,5 +110,6 @@ QUERIES = {
     "p3_sequences": p3_sequences,
     "p6_found": p6_found,
     "p6_kept": p6_kept,
+    "p7_found": p7_found,
 }
 ORACLE: dict[str, str] = {"p3_found": P3_FOUND, "p6_found": P6_FOUND, "p6_kept": P6_KEPT}

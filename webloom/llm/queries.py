@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.llm import boilerplate, capping, encoding, repeats, residue
+from webloom.llm import boilerplate, capping, encoding, language, repeats, residue
 from webloom.sources.tables import load
 
 
@@ -96,6 +96,29 @@ WITH latest AS (
 P6_FOUND = P6_RANKED + "SELECT page_id FROM r WHERE position > n"
 P6_KEPT = P6_RANKED + "SELECT page_id, domain, CAST(position AS BIGINT) AS position FROM r WHERE position <= n"
 
+def _languages(spark: SparkSession, root: str) -> DataFrame:
+    pages = load(spark, root, "pages", "page_id", "lang", "content").where(F.col("content").isNotNull())
+    documents = load(spark, root, "documents", "doc_id", "lang", "text")
+    net = language.fit_network([(documents, "doc_id", "lang", "text"), (pages, "page_id", "lang", "content")])
+    misread = encoding.misread_test(pages, encoding.fit_pairs(pages.select("content")))
+
+    def skip():
+        garbled = misread()
+        return lambda text: residue.inspect(text)[0] is not None or garbled(text)
+
+    return language.label_languages(pages, "page_id", "lang", "content", net, skip)
+
+
+def p4_found(spark: SparkSession, root: str) -> DataFrame:
+    wrong = F.when(F.col("label_wrong"), F.array(F.struct(F.lit(-1).cast("long").alias("line_no"), "lang", "confidence"))).otherwise(F.array().cast("array<struct<line_no: long, lang: string, confidence: double>>"))
+    rows = _languages(spark, root).where("lang is not null").select("page_id", F.explode(F.concat(wrong, "segments")).alias("s"))
+    return rows.select("page_id", "s.line_no", "s.lang")
+
+
+def p4_labels(spark: SparkSession, root: str) -> DataFrame:
+    return _languages(spark, root).select("page_id", "lang", "confidence", "label_wrong", F.to_json("segments").alias("segments"))
+
+
 def p7_found(spark: SparkSession, root: str) -> DataFrame:
     pages = load(spark, root, "pages", "page_id", "fetch_id", "content")
     fetched = load(spark, root, "fetch_results", "fetch_id", "html")
@@ -108,6 +131,8 @@ QUERIES = {
     "p2_restored": p2_restored,
     "p3_found": p3_found,
     "p3_sequences": p3_sequences,
+    "p4_found": p4_found,
+    "p4_labels": p4_labels,
     "p6_found": p6_found,
     "p6_kept": p6_kept,
     "p7_found": p7_found,

@@ -35,7 +35,10 @@ BODY_NAMES = frozenset("story article content main post entry post-content entry
 TOKEN = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<!--.*?-->|([^<]+)|<", re.S)
 SKIP = re.compile(r"(?is)<head\b.*?</head>|<(script|style)\b.*?</\1\s*>")
 NAME = re.compile(r"(?:class|id)=[\"']?([^\"'>]+)")
+DIGITS = re.compile("[0-9]+")
 WORD = re.compile(r"\w+", re.U)
+CODE_SIGN = re.compile(r"[;{}=]|\(\)|^\s*[$#]|  # ")
+SITE_END = re.compile(r"\([\w.-]+\.[a-z]{2,}\)\s*$")
 VOID = frozenset("br hr img input meta link area base col embed source track wbr".split())
 
 
@@ -45,7 +48,7 @@ def feature(name: str) -> int:
 
 
 def fold(text: str) -> str:
-    return re.sub(r"\s+", " ", text).strip().lower()
+    return " ".join(text.split()).lower()
 
 
 def text_key(text: str) -> int:
@@ -74,7 +77,7 @@ def leaf_blocks(markup: str) -> list[tuple[str, str, list[_Node], bool]]:
     state = ["", False]  # tag of the open leaf, link seen
 
     def flush() -> None:
-        value = re.sub(r"\s+", " ", entities.unescape("".join(text))).strip()
+        value = " ".join(entities.unescape("".join(text)).split())
         text.clear()
         if value:
             node, chain = stack[-1][1], []
@@ -155,7 +158,7 @@ def page_blocks(markup: str | None) -> list[tuple[int, list[int], list[int], int
         if own is not None:
             share = 0 if not widest else min(4, 4 * own.prose // widest)
             plain += [f"share={share}", f"share={share},tag={tag}", f"head={own.heading}", f"few={min(own.blocks, 5)}", f"links={min(4, 4 * own.links // max(1, own.blocks))}"]
-            marked += [f"in={c.tag}" for c in chain[-3:]] + [f"name={n}" for c in chain[-3:] for n in c.names if not re.search(r"\d", n)]
+            marked += [f"in={c.tag}" for c in chain[-3:]] + [f"name={n}" for c in chain[-3:] for n in c.names if not DIGITS.search(n)]
             marked += [f"chain={'/'.join(c.tag for c in chain[-3:])},{tag}"]
         label = -1
         if named is not None:
@@ -165,7 +168,7 @@ def page_blocks(markup: str | None) -> list[tuple[int, list[int], list[int], int
 
 
 def text_features(line: str, place: int, count: int) -> list[int]:
-    folded = re.sub(r"[0-9]+", "0", fold(line))
+    folded = DIGITS.sub("0", fold(line))
     words = WORD.findall(folded)
     end = line.rstrip()[-1:]
     out = [f"whole={folded[:80]}", f"end={end if not end.isalnum() else 'w'}", f"len={min(7, len(folded) // 40)}", f"n={min(len(words), 12)}"]
@@ -176,11 +179,11 @@ def text_features(line: str, place: int, count: int) -> list[int]:
         n = line.count(mark)
         if n:
             out.append(f"mark={mark}{min(n, 3)}")
-    if re.search(r"[;{}=]|\(\)|^\s*[$#]|  # ", line):
+    if CODE_SIGN.search(line):
         out.append("code")
     if ":" in line[:30]:
         out.append(f"lead={fold(line.split(':')[0])}")
-    if re.search(r"\([\w.-]+\.[a-z]{2,}\)\s*$", line):
+    if SITE_END.search(line):
         out.append("site")
     upper = sum(w[:1].isupper() for w in line.split())
     out.append(f"caps={min(4, 5 * upper // max(1, len(line.split())))}")
@@ -194,12 +197,16 @@ class ChainField:
         self.w, self.t = np.zeros(WIDTH, np.float32), np.zeros((3, 3), np.float32)  # row 2: start; column 2: end
 
     def scores(self, page: list[list[int]]) -> np.ndarray:
-        return np.array([self.w[f].sum() for f in page])
-
-    def viterbi(self, page: list[list[int]]) -> list[int]:
         if not page:
+            return np.zeros(0)
+        starts = np.cumsum([0, *(len(f) for f in page[:-1])])
+        return np.add.reduceat(self.w[np.concatenate(page).astype(np.int64)], starts).astype(np.float64)
+
+    def viterbi(self, s: list[float]) -> list[int]:
+        """The best labels for the blocks of a page, given their scores for the body."""
+        if not s:
             return []
-        t, s = self.t, self.scores(page).tolist()
+        t = self.t
         a, b = float(t[2, 0]), float(t[2, 1]) + s[0]
         t00, t01, t10, t11 = float(t[0, 0]), float(t[0, 1]), float(t[1, 0]), float(t[1, 1])
         back = []
@@ -298,20 +305,27 @@ def training_pages(rows: list[tuple[str, str]]) -> list[tuple[list[list[int]], l
     return out
 
 
-def dom_table(fetched: DataFrame, key: str, markup: str) -> DataFrame:
-    """(key, dom): the leaf blocks of each page as text keys and feature numbers; the html itself is never shuffled."""
+def dom_table(fetched: DataFrame, key: str, markup: str, weights) -> DataFrame:
+    """(key, dom_keys, dom_scores): the leaf blocks of each page as text keys and the sums of their DOM weights.
+
+    ``weights`` is the broadcast weight vector.  The field is linear in its features, so the markup
+    side of a block is one number, and the html itself is never shuffled.
+    """
     kind = dict(fetched.dtypes)[key]
 
     def make():
+        w = weights.value[0]
+
         def expand(k, value):
-            best: dict[int, list[int]] = {}
+            best: dict[int, float] = {}
             for b in page_blocks(value):
-                best.setdefault(b[0], b[1] + b[2])
+                if b[0] not in best:
+                    best[b[0]] = float(w[b[1]].sum() + (w[b[2]].sum() if b[2] else 0.0))
             return [(k, list(best), list(best.values()))] if best else []
 
         return expand
 
-    return map_rows(fetched.select(key, markup), f"{key} {kind}, dom_keys array<long>, dom_features array<array<int>>", make)
+    return map_rows(fetched.select(key, markup), f"{key} {kind}, dom_keys array<long>, dom_scores array<float>", make)
 
 
 def fit_field(pages: DataFrame, fetched: DataFrame, page_key: str, key: str, text: str, markup: str, bound: int = TRAIN_PAGES) -> ChainField:
@@ -338,21 +352,22 @@ def find_boilerplate(
     field = field or fit_field(pages, fetched, page_key, key, text, markup)
     shared = pages.sparkSession.sparkContext.broadcast((field.w, field.t))
     kind = dict(pages.dtypes)[page_key]
-    dom = dom_table(fetched.where(F.col(markup).isNotNull()), key, markup)
-    joined = pages.where(F.col(text).isNotNull()).join(dom, key, "left").select(page_key, text, "dom_keys", "dom_features")
+    dom = dom_table(fetched.where(F.col(markup).isNotNull()), key, markup, shared)
+    joined = pages.where(F.col(text).isNotNull()).join(dom, key, "left").select(page_key, text, "dom_keys", "dom_scores")
 
     def make():
         model = ChainField()
         model.w, model.t = shared.value
-        none = [feature("nodom")]
+        none = float(model.w[feature("nodom")])
 
-        def expand(k, value, keys, features):
+        def expand(k, value, keys, scores):
             if skip_residue and inspect(value)[0] is not None:
                 return []
-            found = dict(zip(keys or (), features or ()))
+            found = dict(zip(keys or (), scores or ()))
             lines = [(i, x) for i, x in enumerate(value.split("\n")) if x.strip()]
-            page = [text_features(x, j, len(lines)) + list(found.get(text_key(x), none)) for j, (_, x) in enumerate(lines)]
-            return [(k, i) for (i, _), y in zip(lines, model.viterbi(page)) if y == 0]
+            sums = model.scores([text_features(x, j, len(lines)) for j, (_, x) in enumerate(lines)]).tolist()
+            sums = [a + found.get(text_key(x), none) for a, (_, x) in zip(sums, lines)]
+            return [(k, i) for (i, _), y in zip(lines, model.viterbi(sums)) if y == 0]
 
         return expand
 

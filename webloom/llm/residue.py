@@ -127,7 +127,7 @@ schakel javascript in
 """.strip().split("\n")
 #: Words of mock Latin; keys typed at random.
 MOCK_LATIN = (
-    "lorem ipsum dolor amet sit consectetur adipiscing elit elita sed do eiusmod tempor tempo incididunt labore magna aliqua "
+    "lorem ipsum dolor amet consectetur adipiscing elita eiusmod tempor tempo incididunt labore magna aliqua "
     "magnis integra turpi turpis donec erit erat ornara ornare quam lectis lectus augue porta porttitor cursus auctor massa "
     "felis mollis sodal sodales nibha nibh vestra vestibulum velit vitae prasent praesent nunc rutrum facil facilisis sedit"
 ).split()
@@ -161,6 +161,8 @@ EXPLAINING = set("shell script expands directory variable value missing printed
 CODE_LINE = re.compile(r"  # \w+$|^\s*(?:export |import |from \w+ import|def |if \(|for \(|return |const |let |var |curl |git |SELECT |\$ )|[;{]\s*$|\w\(.*\)\s*;?\s*$")
 FRAME = re.compile(r"^\s*at [\w.$<>]+ \([^()\n]*:\d+(?::\d+)?\)\s*$")
 SERVER_TRACE = re.compile(r"(?i)^(?:warning|fatal|traceback|notice|error)\b.*(?:\bon line \d+|\bat [\w.]+:\d+)\s*$")
+DIGITS = re.compile("[0-9]+")
+SLOT_SIGN = re.compile(r"[\[{}<%@_$]|XX/|TBD|undefined")
 SENTENCE = re.compile(r"(?<=[.!?])\s+")
 PROSE_END = re.compile(r"[.!?…。:;”\")]\s*$")
 COVERAGE = 0.5
@@ -186,7 +188,7 @@ def automaton() -> ahocorasick.Automaton:
 
 
 def _fold(line: str) -> str:
-    return re.sub(r"[0-9]+", "0", re.sub(r"\s+", " ", line.strip()).lower())
+    return DIGITS.sub("0", " ".join(line.split()).lower())
 
 
 def _slots(line: str) -> list[tuple[int, int]]:
@@ -222,7 +224,8 @@ def _slots(line: str) -> list[tuple[int, int]]:
     return out
 
 
-def _covered(line: str) -> tuple[int, set[str]]:
+@lru_cache(20_000)
+def _covered(line: str) -> tuple[int, frozenset[str]]:
     """Covered characters of a folded line and the kinds that cover it."""
     kinds: set[str] = set()
     cover = bytearray(len(line))
@@ -238,10 +241,10 @@ def _covered(line: str) -> tuple[int, set[str]]:
                 cover[start : end + 1] = b"\1" * size
                 kinds.add(kind)
     if words and (loose["latin"] >= 0.6 * len(words) and loose["latin"] >= 2 or loose["mash"] >= 0.6 * len(words)):
-        return len(line), {"filler"}
+        return len(line), frozenset(["filler"])
     if len(words) >= 12 and len(set(words)) <= max(4, len(words) // 8):
-        return len(line), {"filler"}
-    return sum(cover), kinds
+        return len(line), frozenset(["filler"])
+    return sum(cover), frozenset(kinds)
 
 
 def inspect(text: str | None) -> tuple[str | None, float, int]:
@@ -253,7 +256,7 @@ def inspect(text: str | None) -> tuple[str | None, float, int]:
     for raw in text.split("\n"):
         if not raw.strip():
             continue
-        if not CODE_LINE.search(raw):
+        if SLOT_SIGN.search(raw) and not CODE_LINE.search(raw):
             slots += len(_slots(raw))
         line = _fold(raw)
         if FRAME.match(raw) or SERVER_TRACE.match(raw.strip()):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.llm import boilerplate, capping, encoding, language, repeats, residue
+from webloom.llm import boilerplate, capping, encoding, language, neighbours, reading, repeats, residue
 from webloom.sources.tables import load
 
 
@@ -119,12 +119,27 @@ def p4_labels(spark: SparkSession, root: str) -> DataFrame:
     return _languages(spark, root).select("page_id", "lang", "confidence", "label_wrong", F.to_json("segments").alias("segments"))
 
 
+def p5_found(spark: SparkSession, root: str) -> DataFrame:
+    found = neighbours.nearest(load(spark, root, "chunks", "chunk_id", "embedding_vector"), "chunk_id", "embedding_vector")
+    return neighbours.neighbour_pairs(found).select(F.col("id_a").alias("chunk_id_a"), F.col("id_b").alias("chunk_id_b"))
+
+
 def p7_found(spark: SparkSession, root: str) -> DataFrame:
     pages = load(spark, root, "pages", "page_id", "fetch_id", "content")
     fetched = load(spark, root, "fetch_results", "fetch_id", "html")
     return boilerplate.find_boilerplate(pages, fetched, "page_id", "fetch_id")
 
 
+def p10_found(spark: SparkSession, root: str) -> DataFrame:
+    model = reading.fit_reading(load(spark, root, "level_anchors", "reading_level", "text"), "reading_level", "text")
+    return reading.reading_levels(load(spark, root, "documents", "doc_id", "text"), "doc_id", "text", model).select("doc_id", "reading_level")
+
+
+def p10_profile(spark: SparkSession, root: str) -> DataFrame:
+    levels = p10_found(spark, root)
+    return levels.join(load(spark, root, "documents", "doc_id", "source"), "doc_id").groupBy("source", "reading_level").agg(F.count("*").alias("texts"))
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p2_found": p2_found,
@@ -133,8 +148,11 @@ QUERIES = {
     "p3_sequences": p3_sequences,
     "p4_found": p4_found,
     "p4_labels": p4_labels,
+    "p5_found": p5_found,
     "p6_found": p6_found,
     "p6_kept": p6_kept,
     "p7_found": p7_found,
+    "p10_found": p10_found,
+    "p10_profile": p10_profile,
 }
 ORACLE: dict[str, str] = {"p3_found": P3_FOUND, "p6_found": P6_FOUND, "p6_kept": P6_KEPT}

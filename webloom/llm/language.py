@@ -29,7 +29,7 @@ PRIOR = 0.9
 #: A line needs so many words with a letter to have a language of its own.
 LINE_WORDS = 8
 WORD = re.compile(r"\S*[^\W\d_]\S*")
-QUOTED = re.compile(r"“(?:[^“”\s]+\s*){1,%d}”" % (LINE_WORDS - 1))
+QUOTED = re.compile("“[^“”]{1,100}”")
 #: Words that open a byline.
 BYLINE = re.compile(r"^\s*(?:By|Von|Par|Por|Di|Door|Автор:)\s+(?:[A-ZÀ-ÞА-ЯЁ][\w’'-]+\s*){1,4}(?:[,|(·–—-].{0,60})?$")
 
@@ -42,7 +42,7 @@ def label_code(label: str | None) -> str | None:
 
 def plain_line(line: str) -> bytes:
     """A line as the network reads it: lower case, without quotations of under LINE_WORDS words unless little else is left."""
-    bare = QUOTED.sub(" ", line)
+    bare = QUOTED.sub(lambda m: " " if len(m.group().split()) < LINE_WORDS else m.group(), line) if "“" in line else line
     return (bare if len(bare) >= 0.4 * len(line) else line).lower().encode("utf-8", "replace")
 
 

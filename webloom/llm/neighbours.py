@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 
 from webloom.session import materialize
 
-TREES, VISITS = 2, 28
+TREES, VISITS = 2, 40
 #: Vectors of a leaf, and of a subtree that one task holds.
-LEAF, SUBTREE = 1_024, 32_768
+LEAF, SUBTREE = 1_024, 16_384
 #: Bound of the sample that the trees are built on.
 SAMPLE = 20_000
 #: 2**MAX_DEPTH leaves bound the broadcast trees (512 bytes a leaf and tree); beyond, leaves grow.
@@ -274,7 +274,7 @@ def _candidates(spread: DataFrame, dimensions: int, k: int, partitions: int) ->
         if tree is not None:
             yield from finish(tree)
 
-    placed = spread.repartition(partitions, "subtree").sortWithinPartitions("subtree", "guest")
+    placed = spread.repartitionById(partitions, F.col("subtree") % F.lit(partitions)).sortWithinPartitions("subtree", "guest")
     return placed.mapInArrow(run, "id long, found array<struct<d: int, other: long>>")
 
 
@@ -297,7 +297,7 @@ def nearest(
     count = distinct.count()
     if not count:
         return spark.createDataFrame([], "id long, found array<struct<d: int, other: long>>")
-    depth = min(MAX_DEPTH, max(0, math.ceil(math.log2(count / leaf))))
+    depth = min(MAX_DEPTH, max(0, round(math.log2(count / leaf))))
     up = min(depth, max(0, math.ceil(math.log2(subtree / (count / 2**depth)))))
     part = distinct.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(1_000_000 * min(1.0, sample / count)) + 1).limit(2 * sample)
     rows = part.orderBy("id").toArrow()

@@ -1,71 +1,26 @@
 """Problem 6: capping records of dominant contributors.
 
-A global range sort by contributor and descending preference puts every contributor's records in
-one run of the order, possibly across partitions.  Each partition reports how many records of each
-of its contributors it holds; prefix sums over those counts give every record its exact position
-inside its contributor, without ever bringing one contributor into one task.
+A global range sort by contributor and descending preference, partition counts and their prefix
+sums give every record its exact position inside its contributor; records beyond the cap go.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from webloom.session import materialize
-
-
-def positions(records: DataFrame, contributor: str, order: list[Column], partitions: int | None = None) -> DataFrame:
-    """``records`` plus ``position`` (from 1) inside the contributor, by ``order``.
-
-    ``order`` should end in a unique column; then the result does not depend on the partitioning.
-    Null contributors count as one contributor of their own.
-    """
-    spark = records.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = records.repartitionByRange(n, F.col(contributor).asc_nulls_first(), *order).sortWithinPartitions(F.col(contributor).asc_nulls_first(), *order)
-    ranged = materialize(_numbered(ranged, contributor), "ranked")
-    counts = ranged.groupBy("_part", contributor).agg(F.count("*").alias("_n"))
-    # one row for each (partition, contributor): a hot contributor has at most as many rows as there are partitions
-    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.partitionBy(contributor).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    before = before.select(F.col("_part").alias("_p"), F.col(contributor).alias("_c"), "_before")
-    joined = ranged.join(before, (F.col("_part") == F.col("_p")) & F.col(contributor).eqNullSafe(F.col("_c")))
-    return joined.withColumn("position", F.col("_local") + F.col("_before")).drop("_part", "_local", "_p", "_c", "_before")
-
-
-def _numbered(ranged: DataFrame, contributor: str) -> DataFrame:
-    """Adds the partition and the position inside the partition's run of the contributor, one pass in order."""
-    schema = T.StructType([*ranged.schema.fields, T.StructField("_part", T.IntegerType()), T.StructField("_local", T.LongType())])
-    place = ranged.columns.index(contributor)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        part, last, seen = TaskContext.get().partitionId(), object(), 0
-        for batch in batches:
-            local = []
-            for value in batch.column(place).to_pylist():
-                seen = seen + 1 if value == last else 1
-                last = value
-                local.append(seen)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([part] * len(local), pa.int32()), pa.array(local, pa.int64())], names=[*batch.schema.names, "_part", "_local"]
-            )
 
-    return ranged.mapInArrow(run, schema)
+from webloom.llm.order import running
 
 
 def cap_contributors(
     records: DataFrame, contributor: str, order: list[Column], max_count: int | None = None, max_share: float | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """(kept, dropped): each contributor holds at most ``max_count`` and at most ``max_share`` of all records, at least one.
+    """(kept, dropped), each with ``position``: a contributor holds at most ``max_count`` and at most ``max_share`` of all records, at least one.
 
-    Empty input gives two empty frames; ties are settled by ``order``.
+    Null contributors count as one contributor; empty input gives two empty frames; ties are settled
+    by ``order``, which should end in a unique column.  Columns of ``records`` pass through.
     """
-    ranked = positions(records, contributor, order)
+    ranked = running(records, [contributor], order)
     limits = []
     if max_count is not None:
         limits.append(max_count)
@@ -74,5 +29,4 @@ def cap_contributors(
     if not limits:
         raise ValueError("give max_count or max_share")
     keep = F.col("position") <= min(limits)
-    ranked = ranked.withColumn("_keep", keep)
-    return ranked.where("_keep").drop("_keep"), ranked.where(~F.col("_keep")).drop("_keep")
+    return ranked.where(keep), ranked.where(~keep)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.llm import boilerplate, capping, encoding, language, neighbours, reading, repeats, residue
+from webloom.llm import boilerplate, capping, encoding, language, mixing, neighbours, packing, reading, repeats, residue, tokens
+from webloom.session import materialize
 from webloom.sources.tables import load
 
 
@@ -130,6 +131,34 @@ def p7_found(spark: SparkSession, root: str) -> DataFrame:
     return boilerplate.find_boilerplate(pages, fetched, "page_id", "fetch_id")
 
 
+def _containers(spark: SparkSession, root: str) -> dict[str, int]:
+    rows = load(spark, root, "containers", "container_kind", "capacity_tokens").where("container_kind is not null and capacity_tokens > 0")
+    return {r[0]: r[1] for r in rows.collect()}
+
+
+def p8_packed(spark: SparkSession, root: str) -> DataFrame:
+    sizes = materialize(tokens.token_sizes(load(spark, root, "documents", "doc_id", "text"), "doc_id", "text"), "sizes")
+    return packing.pack(sizes, "doc_id", "tokens", _containers(spark, root))
+
+
+def p8_fill(spark: SparkSession, root: str) -> DataFrame:
+    return packing.fill_report(p8_packed(spark, root), _containers(spark, root))
+
+
+def _targets(spark: SparkSession, root: str) -> dict[str, tuple[float, int]]:
+    rows = load(spark, root, "mix_targets", "source", "target_share", "max_repeats").where("source is not null").collect()
+    return {r[0]: (r[1], r[2]) for r in rows}
+
+
+def p9_mixed(spark: SparkSession, root: str) -> DataFrame:
+    sizes = materialize(tokens.token_sizes(load(spark, root, "documents", "doc_id", "text", "source"), "doc_id", "text", "source"), "sizes")
+    return mixing.mix(sizes, "doc_id", "source", "tokens", _targets(spark, root))
+
+
+def p9_shares(spark: SparkSession, root: str) -> DataFrame:
+    return mixing.share_report(p9_mixed(spark, root), _targets(spark, root), "doc_id")
+
+
 def p10_found(spark: SparkSession, root: str) -> DataFrame:
     model = reading.fit_reading(load(spark, root, "level_anchors", "reading_level", "text"), "reading_level", "text")
     return reading.reading_levels(load(spark, root, "documents", "doc_id", "text"), "doc_id", "text", model).select("doc_id", "reading_level")
@@ -152,6 +181,10 @@ QUERIES = {
     "p6_found": p6_found,
     "p6_kept": p6_kept,
     "p7_found": p7_found,
+    "p8_packed": p8_packed,
+    "p8_fill": p8_fill,
+    "p9_mixed": p9_mixed,
+    "p9_shares": p9_shares,
     "p10_found": p10_found,
     "p10_profile": p10_profile,
 }

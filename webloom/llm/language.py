@@ -25,7 +25,7 @@ FILTERS, DIMENSIONS = 32, 8
 TRAIN_ROWS, TRAIN_WINDOWS = 200, 10
 EPOCHS, BATCH = 6, 128
 #: A line is taken to be in the language of its text unless another is so much likelier.
-PRIOR = 0.9
+PRIOR = 0.7
 #: A line needs so many words with a letter to have a language of its own.
 LINE_WORDS = 8
 WORD = re.compile(r"\S*[^\W\d_]\S*")
@@ -88,7 +88,7 @@ class ByteNet:
             pooled.append(np.maximum(best + self.p[f"b{w}"], 0))
         return np.concatenate(pooled, 1), flat, kept
 
-    def log_probabilities(self, x: np.ndarray, batch: int = 256) -> np.ndarray:
+    def log_probabilities(self, x: np.ndarray, batch: int = 64) -> np.ndarray:
         out = []
         for i in range(0, len(x), batch):
             z = self._pool(x[i : i + batch])[0] @ self.p["o"] + self.p["c"]

@@ -2,5 +2,354 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from webloom.functions import quality as Q
+from webloom.functions import text as X
+from webloom.functions import urls as U
+from webloom.functions import vectors as V
+from webloom.operators import chunking, control, embedding, extraction, frontier, links, quality, robots, search
+from webloom.plans import oracle
+from webloom.sources.tables import load
+
+NOW = "2026-01-01 00:00:00"
+
+
+def _urls(spark: SparkSession, root: str) -> DataFrame:
+    return load(spark, root, "fetch_results", "fetch_id", "url")
+
+
+def url_normalize(spark: SparkSession, root: str) -> DataFrame:
+    return _urls(spark, root).select("fetch_id", U.normalize(F.col("url")).alias("normal"))
+
+
+def url_fingerprint(spark: SparkSession, root: str) -> DataFrame:
+    return _urls(spark, root).select("fetch_id", U.fingerprint(U.normalize(F.col("url"))).alias("hash"))
+
+
+def url_parts(spark: SparkSession, root: str) -> DataFrame:
+    u = F.col("url")
+    return _urls(spark, root).select(
+        "fetch_id", U.protocol(u).alias("protocol"), U.hostname(u).alias("hostname"), U.pathname(u).alias("pathname"), U.search(u).alias("search"),
+        U.fragment(u).alias("fragment"), U.extension(u).alias("extension"),
+    )
+
+
+def url_classify(spark: SparkSession, root: str) -> DataFrame:
+    return load(spark, root, "urls", "url_id", U.classify(F.col("url")).alias("class"))
+
+
+def url_dedup(spark: SparkSession, root: str) -> DataFrame:
+    found = frontier.normalized(_urls(spark, root))
+    return frontier.first_of_each(found, "hash", [F.col("fetch_id")], "fetch_id", "normal")
+
+
+def url_frontier_new(spark: SparkSession, root: str) -> DataFrame:
+    known = load(spark, root, "urls", F.col("url_hash").alias("hash"))
+    return frontier.unseen(frontier.normalized(_urls(spark, root)).where("hash is not null").select("hash", "normal"), known)
+
+
+def url_upsert(spark: SparkSession, root: str) -> DataFrame:
+    known = load(spark, root, "urls", F.col("url_hash").alias("hash"), "depth", "status", "last_crawled_at")
+    fetched = frontier.normalized(load(spark, root, "fetch_results", "url", "fetched_at")).where("hash is not null")
+    batch = fetched.groupBy("hash").agg(F.max("fetched_at").alias("at")).withColumn("depth", F.lit(0))
+    return frontier.upsert(known, batch)
+
+
+def url_status_latest(spark: SparkSession, root: str) -> DataFrame:
+    outcome = frontier.fetch_outcome(F.col("status_code"), F.col("network_error"), F.col("html"))
+    events = load(spark, root, "fetch_results", "url_id", F.when(outcome.isin("parse", "skip"), "crawled").otherwise("failed").alias("new_status"), F.col("fetched_at").alias("at"))
+    return frontier.merge_status(load(spark, root, "urls", "url_id", "status", "last_crawled_at"), events)
+
+
+def fetch_outcome(spark: SparkSession, root: str) -> DataFrame:
+    kind = frontier.fetch_outcome(F.col("status_code"), F.col("network_error"), F.col("html"))
+    return load(spark, root, "fetch_results", "fetch_id", kind.alias("outcome"), F.coalesce(frontier.within_size(F.col("html")), F.lit(False)).alias("readable"))
+
+
+def domain_rollup(spark: SparkSession, root: str) -> DataFrame:
+    rows = load(spark, root, "urls", "domain", "status", "depth")
+    return rows.groupBy("domain").agg(
+        F.count("*").alias("urls"), F.count_if(F.col("status") == "crawled").alias("crawled"), F.count_if(F.col("status") == "failed").alias("failed"),
+        F.count_if(F.col("status") == "pending").alias("pending"), F.max("depth").alias("deepest"),
+    )
+
+
+def session_rollup(spark: SparkSession, root: str) -> DataFrame:
+    rows = load(spark, root, "crawl_sessions")
+    seconds = F.unix_seconds(F.col("completed_at").cast("timestamp")) - F.unix_seconds(F.col("started_at").cast("timestamp"))
+    return rows.groupBy("domain", "status").agg(
+        F.count("*").alias("sessions"), F.sum("pages_crawled").alias("crawled"), F.sum("pages_queued").alias("queued"), F.sum("pages_failed").alias("failed"), F.max(seconds).alias("longest_s")
+    )
+
+
+def latest_pages(spark: SparkSession, root: str) -> DataFrame:
+    return frontier.latest_pages(load(spark, root, "pages", "page_id", "url_id", "fetched_at", "title", "quality_score"))
+
+
+def orphan_rows(spark: SparkSession, root: str) -> DataFrame:
+    urls = load(spark, root, "urls", "url_id")
+    out = None
+    for table, key in (("pages", "page_id"), ("chunks", "chunk_id"), ("fetch_results", "fetch_id")):
+        rows = load(spark, root, table, F.lit(table).alias("child"), F.col(key).alias("id"), "url_id")
+        found = frontier.orphans(rows, urls, "url_id").select("child", "id")
+        out = found if out is None else out.unionAll(found)
+    return out
+
+
+def cascade_delete(spark: SparkSession, root: str) -> DataFrame:
+    gone = load(spark, root, "urls", "url_id", "status").where("status = 'disallowed'")
+    return frontier.cascade_delete(load(spark, root, "pages", "page_id", "url_id"), gone, "url_id")
+
+
+def links_extract(spark: SparkSession, root: str) -> DataFrame:
+    return links.extract_links(load(spark, root, "fetch_results", "fetch_id", "url", "html"), "fetch_id", "url", "html")
+
+
+def links_filter(spark: SparkSession, root: str) -> DataFrame:
+    rows = load(spark, root, "fetch_results", "fetch_id", "url", "html")
+    found = links.extract_links(rows, "fetch_id", "url", "html")
+    domains = rows.select("fetch_id", U.hostname(F.col("url")).alias("domain"))
+    return found.join(domains, "fetch_id").where(links.keeps_link(F.col("link"), F.col("domain"))).select("fetch_id", "link")
+
+
+def link_edges(spark: SparkSession, root: str) -> DataFrame:
+    return links.distinct_edges(load(spark, root, "links"))
+
+
+def link_degree(spark: SparkSession, root: str) -> DataFrame:
+    return links.degrees(load(spark, root, "links", "from_url_id", "to_url_id"))
+
+
+def children_queued(spark: SparkSession, root: str) -> DataFrame:
+    """Per fetched page: links followed, those already known, and those that are new."""
+    found = links_filter(spark, root).select("fetch_id", U.fingerprint(U.normalize(F.col("link"))).alias("hash")).distinct()
+    known = load(spark, root, "urls", F.col("url_hash").alias("hash")).withColumn("known", F.lit(1))
+    return found.join(known, "hash", "left").groupBy("fetch_id").agg(F.count("*").alias("followed"), F.count("known").alias("deduped"), F.count_if(F.col("known").isNull()).alias("queued"))
+
+
+def crawl_bfs(spark: SparkSession, root: str) -> DataFrame:
+    seeds = load(spark, root, "urls", "url_id", "depth").where("depth = 0 and url_id % 100 = 1").select("url_id")
+    return frontier.crawl_depths(load(spark, root, "links", "from_url_id", "to_url_id"), seeds, 3)
+
+
+def needs_js(spark: SparkSession, root: str) -> DataFrame:
+    return load(spark, root, "fetch_results", "fetch_id", extraction.needs_rendering(F.col("url"), F.col("html")).alias("needs_js"))
+
+
+def page_meta(spark: SparkSession, root: str) -> DataFrame:
+    h = F.col("html")
+    rows = load(spark, root, "fetch_results", "fetch_id", "html").where(h.isNotNull())
+    return rows.select("fetch_id", extraction.page_title(h).alias("title"), extraction.page_heading(h).alias("h1"), extraction.page_description(h).alias("description"))
+
+
+def page_body_text(spark: SparkSession, root: str) -> DataFrame:
+    rows = load(spark, root, "fetch_results", "fetch_id", "html").where("html is not null")
+    return rows.select("fetch_id", extraction.body_text(F.col("html")).alias("body_text"))
+
+
+def meta_fallbacks(spark: SparkSession, root: str) -> DataFrame:
+    return extraction.extract_meta(load(spark, root, "fetch_results", "fetch_id", "html"), "fetch_id", "html")
+
+
+def main_content(spark: SparkSession, root: str) -> DataFrame:
+    return extraction.extract_main(load(spark, root, "fetch_results", "fetch_id", "html"), "fetch_id", "html")
+
+
+def _scored(spark: SparkSession, root: str) -> DataFrame:
+    pages = quality.with_markup(load(spark, root, "pages", "page_id", "fetch_id", "content", "published_at"), load(spark, root, "fetch_results", "fetch_id", "html"))
+    return quality.score_content(pages, F.col("content"), F.col("html"), F.col("published_at"))
+
+
+def _quality(*columns: str):
+    return lambda spark, root: _scored(spark, root).select("page_id", *columns)
+
+
+def doc_quality(spark: SparkSession, root: str) -> DataFrame:
+    docs = load(spark, root, "documents", "doc_id", "text")
+    scored = quality.score_content(docs, F.col("text"), F.lit(""), F.lit(None).cast("timestamp_ntz"))
+    return scored.select("doc_id", "word_count", "sentence_count", "length_score", "readability_score", "uniqueness_score", "total", "content_type")
+
+
+def text_counts(spark: SparkSession, root: str) -> DataFrame:
+    t = F.col("text")
+    rows = load(spark, root, "documents", "doc_id", "text").where(t.isNotNull())
+    return rows.select("doc_id", X.word_count(t).alias("words"), X.sentence_count(t).alias("sentences"), X.units(t).cast("long").alias("units"), X.token_estimate(t).alias("tokens"), X.reading_time(X.word_count(t)).alias("minutes"), X.preview(t).alias("preview"))
+
+
+def sentence_split(spark: SparkSession, root: str) -> DataFrame:
+    rows = load(spark, root, "documents", "doc_id", "text").where("text is not null")
+    return rows.select("doc_id", F.posexplode(chunking.sentences(F.col("text"))).alias("n", "sentence"))
+
+
+def paragraph_blocks(spark: SparkSession, root: str) -> DataFrame:
+    rows = load(spark, root, "documents", "doc_id", "text").where("text is not null")
+    return rows.select("doc_id", F.posexplode(chunking.paragraph_blocks(F.col("text"))).alias("n", "b")).select("doc_id", "n", "b.heading", "b.body")
+
+
+def chunk_text(spark: SparkSession, root: str) -> DataFrame:
+    rows = load(spark, root, "pages", "page_id", "content", "passes_quality_gate").where("passes_quality_gate")
+    return chunking.chunk_texts(rows, "content", "page_id", target=256, overlap=1, minimum=20)
+
+
+def chunk_documents(spark: SparkSession, root: str) -> DataFrame:
+    return chunking.chunk_texts(load(spark, root, "documents", "doc_id", "text"), "text", "doc_id")
+
+
+def embedding_input(spark: SparkSession, root: str) -> DataFrame:
+    rows = load(spark, root, "chunks", "chunk_id", "text", "section_heading", "title")
+    return rows.select("chunk_id", chunking.embedding_input(F.col("text"), F.col("section_heading")).alias("input"), chunking.embedding_input(F.col("text"), F.col("section_heading"), F.col("title")).alias("titled_input"))
+
+
+def rag_documents(spark: SparkSession, root: str) -> DataFrame:
+    return chunking.rag_document(load(spark, root, "chunks"))
+
+
+def unembedded_batch(spark: SparkSession, root: str) -> DataFrame:
+    rows = load(spark, root, "chunks", "chunk_id", "url_id", "text", "section_heading", "embedding_vector", "embedding_model")
+    batch = embedding.unembedded(rows, 50).select("chunk_id", "url_id", "text", "section_heading")
+    return batch.join(load(spark, root, "urls", "url_id", "url"), "url_id", "left").select("chunk_id", "url", "text", "section_heading")
+
+
+def embed_validate(spark: SparkSession, root: str) -> DataFrame:
+    rows = load(spark, root, "chunks", "chunk_id", "embedding_vector").where("embedding_vector is not null")
+    return rows.select("chunk_id", V.is_usable(F.col("embedding_vector"), 64).alias("usable"))
+
+
+def embed_apply(spark: SparkSession, root: str) -> DataFrame:
+    chunks = load(spark, root, "chunks", "chunk_id", "text", "section_heading", "embedding_vector", "embedding_model")
+    todo = embedding.unembedded(chunks).select("chunk_id", chunking.embedding_input(F.col("text"), F.col("section_heading")).alias("input"))
+    made = embedding.embed_chunks(todo, embedding.hashing_embedder(64), "hashing-64")
+    return embedding.apply_vectors(chunks.drop("text", "section_heading"), made).select("chunk_id", "embedding_model", F.size("embedding_vector").alias("dimensions"))
+
+
+def _knn(metric: str):
+    def run(spark: SparkSession, root: str) -> DataFrame:
+        rows = load(spark, root, "embeddings", "vec_id", "embedding")
+        found = search.nearest(rows, rows.where("vec_id % 100 = 0"), "vec_id", "embedding", 5 if metric == "l2" else 10, metric)
+        out = found.withColumn("distance", F.round("distance", 5))
+        return out if metric == "l2" else out.withColumn("similarity", F.round(1 - F.col("distance"), 5))
+
+    return run
+
+
+def _chunk_hits(spark: SparkSession, root: str) -> DataFrame:
+    rows = load(spark, root, "chunks", "chunk_id", "embedding_vector").where(V.is_usable(F.col("embedding_vector"), 64))
+    return search.nearest(rows, rows.where("chunk_id % 100 = 0"), "chunk_id", "embedding_vector", 5, "l2")
+
+
+def knn_join_source(spark: SparkSession, root: str) -> DataFrame:
+    hits = _chunk_hits(spark, root)
+    chunks = load(spark, root, "chunks", "chunk_id", "url_id", "section_heading")
+    rows = hits.join(chunks, "chunk_id").join(load(spark, root, "urls", "url_id", "url"), "url_id")
+    return rows.select("query", "rank", "chunk_id", F.round("distance", 5).alias("distance"), "url", "section_heading")
+
+
+def rag_context(spark: SparkSession, root: str) -> DataFrame:
+    rows = _chunk_hits(spark, root).join(load(spark, root, "chunks", "chunk_id", "text"), "chunk_id")
+    found = search.context(rows, "query", "rank", "text")
+    return found.select("query", "context", search.prompt(F.col("context"), F.lit("What is this about?")).alias("prompt"))
+
+
+ROBOTS = [
+    (
+        "h.com",
+        "User-agent: *\nDisallow: /private\nAllow: /private/ok\nDisallow: /*.pdf$\nCrawl-delay: 2\nUser-agent: Googlebot\nUser-agent: Other\nDisallow: /x\nSitemap: https://h.com/sm.xml\n",
+    ),
+    ("k.org", "# none\nuser-agent: MyBot\ndisallow:\nDisallow: /a?b\nCrawl-delay: 1.5s\n"),
+    ("empty.net", ""),
+]
+ROBOT_URLS = ["https://h.com/private", "https://h.com/privateer", "https://h.com/private/ok/1", "https://h.com/a.pdf", "https://h.com/x", "https://k.org/aXbc", "https://k.org/ab", "https://none.io/p", "not a url"]
+SITEMAPS = [
+    ("https://h.com/sm.xml", "<sitemapindex><sitemap><loc> https://h.com/s1.xml </loc></sitemap><sitemap><loc>https://h.com/s2.xml</loc></sitemap></sitemapindex>"),
+    ("https://h.com/s1.xml", "<urlset><url><loc> https://h.com/a </loc></url><url><LOC>https://h.com/b/</LOC></url><url><loc>https://other.com/c</loc></url></urlset>"),
+    ("https://h.com/s2.xml", "<sitemapindex><loc>https://h.com/s3.xml</loc></sitemapindex>"),
+    ("https://h.com/s3.xml", "<urlset><loc>https://h.com/deep</loc><loc>ftp://h.com/no</loc></urlset>"),
+]
+
+
+def _robots(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(ROBOTS, "domain string, body string")
+
+
+def robots_rules(spark: SparkSession, root: str) -> DataFrame:
+    return robots.robots_rules(_robots(spark))
+
+
+def robots_summary(spark: SparkSession, root: str) -> DataFrame:
+    return robots.robots_summary(_robots(spark))
+
+
+def robots_allowed(spark: SparkSession, root: str) -> DataFrame:
+    urls = spark.createDataFrame([(u,) for u in ROBOT_URLS], "url string")
+    return robots.is_allowed(urls, robots.robots_rules(_robots(spark))).select("url", "allowed")
+
+
+def sitemap_urls(spark: SparkSession, root: str) -> DataFrame:
+    files = spark.createDataFrame(SITEMAPS, "url string, body string")
+    return robots.sitemap_urls(files, spark.createDataFrame([("https://h.com/sm.xml",)], "url string"))
+
+
+def sitemap_seed(spark: SparkSession, root: str) -> DataFrame:
+    found = sitemap_urls(spark, root).withColumn("domain", U.hostname(F.col("root")))
+    return frontier.sitemap_seeds(found).select("domain", "normal", "hash", "depth")
+
+
+def rate_limit_slots(spark: SparkSession, root: str) -> DataFrame:
+    rows = load(spark, root, "events", "event_id", "user_id", control.millis(F.col("ts")).alias("at"))
+    return control.rate_slots(rows, "user_id", "at", "event_id", 72_000_000).select("event_id", "slot")
+
+
+def retry_schedule(spark: SparkSession, root: str) -> DataFrame:
+    rows = load(spark, root, "fetch_results", "fetch_id", "url_id", "status_code", "network_error", "html", "fetched_at")
+    failed = rows.where(frontier.fetch_outcome(F.col("status_code"), F.col("network_error"), F.col("html")) == "retry")
+    return control.retry_schedule(failed, "url_id", "fetched_at", "fetch_id").select("fetch_id", "attempt", "delay_ms", "exhausted")
+
+
+def crawl_lock_replay(spark: SparkSession, root: str) -> DataFrame:
+    rows = load(spark, root, "events", "event_id", "user_id", control.millis(F.col("ts")).alias("at"))
+    return control.replay_locks(rows, "user_id", "at", "event_id", 36_000).select("event_id", "granted")
+
+
+def proxy_health(spark: SparkSession, root: str) -> DataFrame:
+    rows = load(spark, root, "fetch_results", "fetch_id", "proxy_used", control.millis(F.col("fetched_at")).alias("at"), (F.coalesce("network_error", F.lit(False)) | (F.col("status_code") >= 400)).alias("failed"))
+    return control.proxy_health(rows.where("proxy_used is not null"), "proxy_used", "at", "fetch_id", "failed").select("fetch_id", "failures", "healthy")
+
+
+def header_rotation(spark: SparkSession, root: str) -> DataFrame:
+    n = F.col("fetch_id")
+    return load(spark, root, "fetch_results", "fetch_id", control.rotate(n, control.USER_AGENTS).alias("user_agent"), control.rotate(n, control.ACCEPT_LANGUAGES).alias("accept_language"))
+
+
+def crawl_jobs(spark: SparkSession, root: str) -> DataFrame:
+    rows = load(spark, root, "urls", "url", "url_hash", "domain", "depth").where("domain is not null").withColumn("session_id", F.lit("s"))
+    jobs = rows.withColumns({"max_depth": F.lit(3), "retry_count": F.lit(0), "max_retries": F.lit(3), "state": F.lit("queued"), "job_id": control.job_id(F.col("session_id"), F.col("url_hash"))})
+    return control.check_jobs(jobs)[0].where("depth < max_depth").select("job_id", "url_hash", "domain", "depth")
+
+
+def latency_percentiles(spark: SparkSession, root: str) -> DataFrame:
+    return control.latency_percentiles(load(spark, root, "events", "event_type", "value"), "event_type", "value")
+
+
+def table_peek(spark: SparkSession, root: str) -> DataFrame:
+    return load(spark, root, "urls", "url_id", "url", "status").orderBy("url_id").limit(10)
+
+
+QUERIES = {
+    **{f.__name__: f for f in (
+        url_normalize, url_fingerprint, url_parts, url_classify, url_dedup, url_frontier_new, url_upsert, url_status_latest, fetch_outcome, domain_rollup, session_rollup,
+        latest_pages, orphan_rows, cascade_delete, links_extract, links_filter, link_edges, link_degree, children_queued, crawl_bfs, needs_js, page_meta, page_body_text,
+        meta_fallbacks, main_content, doc_quality, text_counts, sentence_split, paragraph_blocks, chunk_text, chunk_documents, embedding_input, rag_documents, unembedded_batch,
+        embed_validate, embed_apply, knn_join_source, rag_context, robots_rules, robots_summary, robots_allowed, sitemap_urls, sitemap_seed, rate_limit_slots, retry_schedule,
+        crawl_lock_replay, proxy_health, header_rotation, crawl_jobs, latency_percentiles, table_peek,
+    )},
+    **{f"quality_{p.removesuffix('_score')}": _quality(p) for p in Q.PARTS},
+    "quality_total": _quality("total", "word_count", "sentence_count", "avg_words_per_sentence"),
+    "quality_flags": _quality("flags"),
+    "quality_type": _quality("content_type"),
+    "quality_gate": _quality("total", "content_type", "passes"),
+    "knn_l2": _knn("l2"),
+    "knn_cosine": _knn("cosine"),
+}
+ORACLE: dict[str, str] = oracle.SQL

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Query names that never tell pages apart.
@@ -48,9 +48,9 @@ def user_info(url: Column) -> Column:
     return F.regexp_extract(_part(url, 2), r"^(.*@)", 1)
 
 
-def pathname(url: Column) -> Column:
-    """The path with dot segments resolved, at least ``/``."""
-    raw = F.regexp_replace(_part(url, 3), r"\\", "/")
+def clean_path(raw: Column) -> Column:
+    """A path with dot segments resolved, at least ``/``."""
+    raw = F.regexp_replace(raw, r"\\", "/")
     parts = F.split(F.substring(raw, 2, 1_000_000), "/", -1)
     dots = lambda s: F.lower(F.regexp_replace(s, "(?i)%2e", "."))
     folded = F.aggregate(
@@ -63,6 +63,10 @@ def pathname(url: Column) -> Column:
     return F.when(raw == "", F.lit("/")).when(F.lower(raw).rlike(r"/(\.|%2e){1,2}(/|$)"), resolved).otherwise(F.regexp_replace(raw, " ", "%20"))
 
 
+def pathname(url: Column) -> Column:
+    return clean_path(_part(url, 3))
+
+
 def search(url: Column) -> Column:
     """The query with its question mark; a bare mark counts as none."""
     found = _part(url, 4)
@@ -118,37 +122,60 @@ def extension(url: Column) -> Column:
     return F.lower(F.element_at(F.split(pathname(url), r"\.", -1), -1))
 
 
-def resolve(href: Column, base: Column) -> Column:
-    """``href`` against ``base``: absolute, scheme-relative, root-relative, query, fragment and path-relative; null where unresolvable."""
+#: Columns that with_parts adds, behind a prefix.
+PARTS = ("scheme", "user", "host", "port", "path", "search", "hash")
+
+
+def with_parts(rows: DataFrame, url: str, prefix: str) -> DataFrame:
+    """``rows`` plus the parts of ``url`` as columns.
+
+    Both steps go through a generator of one row: the optimizer does not copy expressions across it,
+    so each pattern runs once for a row however often a part is used later.
+    """
+    raw = {"s": _part(F.col(url), 1), "a": _part(F.col(url), 2), "p": _part(F.col(url), 3), "q": _part(F.col(url), 4), "h": _part(F.col(url), 5)}
+    rows = rows.select("*", F.inline(F.array(F.struct(*[v.alias(f"{prefix}_{k}") for k, v in raw.items()]))))
+    c = lambda k: F.col(f"{prefix}_{k}")
+    scheme = F.lower(c("s"))
+    written = F.regexp_extract(c("a"), r":([0-9]+)$", 1)
+    default = F.coalesce(*[F.when(scheme == s, F.lit(p)) for s, p in DEFAULT_PORTS.items()], F.lit(""))
+    out = {
+        "scheme": scheme,
+        "user": F.regexp_extract(c("a"), r"^(.*@)", 1),
+        "host": F.lower(F.regexp_replace(F.regexp_replace(c("a"), r"^.*@", ""), r":[0-9]*$", "")),
+        "port": F.when(written == default, F.lit("")).otherwise(written),
+        "path": clean_path(c("p")),
+        "search": F.when(c("q") == "?", F.lit("")).otherwise(c("q")),
+        "hash": F.when(c("h") == "#", F.lit("")).otherwise(c("h")),
+    }
+    return rows.select("*", F.inline(F.array(F.struct(*[v.alias(f"{prefix}_{k}") for k, v in out.items()])))).drop(*[f"{prefix}_{k}" for k in raw])
+
+
+def drop_parts(rows: DataFrame, *prefixes: str) -> DataFrame:
+    return rows.drop(*[f"{p}_{k}" for p in prefixes for k in PARTS])
+
+
+def join_parts(prefix: str, *parts: str) -> Column:
+    """Scheme, host and the given parts put together again."""
+    c = lambda k: F.col(f"{prefix}_{k}")
+    port_ = F.when(c("port") == "", F.lit("")).otherwise(F.concat(F.lit(":"), c("port")))
+    return F.concat(c("scheme"), F.lit("://"), c("user"), c("host"), port_, *map(c, parts))
+
+
+def resolve(href: Column, prefix: str) -> Column:
+    """``href`` against the page whose parts stand behind ``prefix``: absolute, scheme-relative, root-relative, query, fragment and path-relative."""
     href = F.trim(href)
-    origin = F.concat(protocol(base), F.lit("://"), _part(base, 2))
-    folder = F.regexp_replace(pathname(base), "[^/]*$", "")
-    whole = (
-        F.when(href == "", F.concat(origin, _path_and_query(base)))
+    origin = join_parts(prefix)
+    c = lambda k: F.col(f"{prefix}_{k}")
+    folder = F.regexp_replace(c("path"), "[^/]*$", "")
+    return (
+        F.when(href == "", F.concat(origin, c("path"), c("search")))
         .when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), href)
-        .when(href.startswith("//"), F.concat(protocol(base), F.lit(":"), href))
-        .when(href.startswith("/"), F.concat(origin, href))
-        .when(href.startswith("?"), F.concat(origin, pathname(base), href))
-        .when(href.startswith("#"), F.concat(origin, _path_and_query(base), href))
+        .when(F.startswith(href, F.lit("//")), F.concat(c("scheme"), F.lit(":"), href))
+        .when(F.startswith(href, F.lit("/")), F.concat(origin, href))
+        .when(F.startswith(href, F.lit("?")), F.concat(origin, c("path"), href))
+        .when(F.startswith(href, F.lit("#")), F.concat(origin, c("path"), c("search"), href))
         .otherwise(F.concat(origin, folder, href))
     )
-    port_ = port(whole)
-    tidy = F.concat(
-        protocol(whole), F.lit("://"), user_info(whole), hostname(whole), F.when(port_ == "", F.lit("")).otherwise(F.concat(F.lit(":"), port_)),
-        pathname(whole), search(whole), fragment(whole),
-    )
-    return F.when(is_url(whole), tidy)
-
-
-def _path_and_query(url: Column) -> Column:
-    return F.concat(pathname(url), search(url))
-
-
-def hash_route(url: Column) -> Column:
-    """For a fragment that starts ``#/``: cut at its question mark, and the query cleared."""
-    found = fragment(url)
-    route = F.concat(F.regexp_extract(url, r"^([^?#]*)", 1), F.regexp_extract(found, r"^([^?]*)", 1))
-    return F.when(found.startswith("#/"), route).otherwise(url)
 
 
 def proxy_parts(url: Column) -> Column:

@@ -34,7 +34,7 @@ def rate_slots(events: DataFrame, key: str, at: str, tie: str, gap_ms: int) -> D
     """
     gap = max(gap_ms, 1000)
     order = Window.partitionBy(key).orderBy(at, tie)
-    i = F.row_number().over(order) - 1
+    i = (F.row_number().over(order) - 1).cast("long")
     lead = F.max(F.col(at) - F.col("_i") * gap).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return events.withColumn("_i", i).withColumn("slot", lead + F.col("_i") * gap).drop("_i")
 

@@ -17,10 +17,8 @@ def fold(rows: DataFrame, key: str, order: list[str], columns: list[str], out: s
     Rows are sorted inside partitions, which spills to disk, and streamed; a key's rows pass through
     one task, but only its state is held.  Null keys make one group.
     """
-    kinds = dict(rows.dtypes)
     extra = StructType.fromDDL(out)
-    schema = StructType.fromDDL(", ".join(f"`{c}` {kinds[c]}" for c in [key, *columns]))
-    target = StructType([*schema.fields, *extra.fields])
+    target = StructType([*(rows.schema[c] for c in [key, *columns]), *extra.fields])
     arrow = to_arrow_schema(target)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

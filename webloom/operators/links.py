@@ -33,24 +33,32 @@ def hrefs(html: Column) -> Column:
 
 
 def extract_links(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
-    """(key, position, link): resolved, distinct in each page, first position kept; null html has none."""
-    base = F.col(url)
-    written = pages.where(F.col(html).isNotNull() & base.isNotNull()).select(key, url, hrefs(F.col(html)).alias("_hrefs"))
-    each = written.select(key, url, F.posexplode("_hrefs").alias("position", "_href"))
-    found = each.select(key, "position", U.hash_route(U.resolve(F.col("_href"), base)).alias("link")).where("link is not null")
-    # positions repeat only inside a page, so the aggregation keeps the page's partial results small
+    """(key, position, link): resolved, distinct in each page, first position kept; null html has none.
+
+    The page's URL is taken apart once for a page, before its links multiply.  A fragment that starts
+    ``#/`` is a route: it is cut at its question mark and the query goes.
+    """
+    written = pages.where(F.col(html).isNotNull() & U.is_url(F.col(url))).select(key, url, hrefs(F.col(html)).alias("_hrefs")).where(F.size("_hrefs") > 0)
+    based = U.with_parts(written, url, "_b").drop(url)
+    each = based.select(key, F.posexplode("_hrefs").alias("position", "_href"), *[f"_b_{k}" for k in U.PARTS])
+    whole = each.select(key, "position", U.resolve(F.col("_href"), "_b").alias("_whole"))
+    parts = U.with_parts(whole, "_whole", "_l").where((F.col("_l_scheme") != "") & F.col("_l_host").rlike(r"^[^\s<>^|%\[\]]+$|^\[[0-9a-f:.]+\]$"))
+    route = F.startswith("_l_hash", F.lit("#/"))
+    found = parts.withColumns({"_l_search": F.when(route, F.lit("")).otherwise(F.col("_l_search")), "_l_hash": F.when(route, F.substring_index("_l_hash", "?", 1)).otherwise(F.col("_l_hash"))})
+    found = found.select(key, "position", U.join_parts("_l", "path", "search", "hash").alias("link"))
     return found.groupBy(key, "link").agg(F.min("position").alias("position")).select(key, "position", "link")
 
 
-def keeps_link(link: Column, domain: Column) -> Column:
-    """Whether a link of a page is followed: same host, no page anchor, no asset, no account page."""
-    path, fragment, query = U.pathname(link), U.fragment(link), U.search(link)
-    root = path == "/"
-    anchor = root & (fragment != "") & ~F.startswith(fragment, F.lit("#/"))
-    home = root & (query == "") & (fragment == "")
-    asset = U.extension(link).isin(SKIPPED_ENDINGS) & F.contains(path, F.lit("."))
-    follow = ~anchor & (home | (~asset & ~F.concat(path, query).rlike(SKIPPED_PATHS)))
-    return F.coalesce(U.protocol(link).isin("http", "https") & (U.hostname(link) == domain) & follow, F.lit(False))
+def filter_links(rows: DataFrame, link: str, domain: str) -> DataFrame:
+    """Rows whose link is followed from a page of ``domain``: same host, no page anchor, no asset, no account page."""
+    parts = U.with_parts(rows, link, "_l")
+    c = lambda k: F.col(f"_l_{k}")
+    root = c("path") == "/"
+    anchor = root & (c("hash") != "") & ~F.startswith(c("hash"), F.lit("#/"))
+    home = root & (c("search") == "") & (c("hash") == "")
+    asset = F.lower(F.regexp_extract(c("path"), r"\.([^.]*)$", 1)).isin(SKIPPED_ENDINGS)
+    follow = ~anchor & (home | (~asset & ~F.concat(c("path"), c("search")).rlike(SKIPPED_PATHS)))
+    return U.drop_parts(parts.where(c("scheme").isin("http", "https") & (c("host") == F.col(domain)) & follow), "_l")
 
 
 def distinct_edges(links: DataFrame, source: str = "from_url_id", target: str = "to_url_id") -> DataFrame:

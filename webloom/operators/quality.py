@@ -24,9 +24,9 @@ def score_content(pages: DataFrame, text: Column, html: Column, published: Colum
     return out.withColumns(
         {
             **{p: F.when(~unscored, F.col(p)) for p in (*Q.PARTS, "content_type", "avg_words_per_sentence", "density_ratio")},
-            "total": F.coalesce("total", F.lit(0)),
+            "total": F.when(unscored, 0).otherwise(F.col("total")),
             "flags": F.when(unscored, F.array().cast("array<string>")).otherwise(F.col("flags")),
-            "passes": F.coalesce("passes", F.lit(False)),
+            "passes": F.when(unscored, False).otherwise(F.col("passes")),
         }
     )
 

@@ -111,7 +111,7 @@ def links_filter(spark: SparkSession, root: str) -> DataFrame:
     rows = load(spark, root, "fetch_results", "fetch_id", "url", "html")
     found = links.extract_links(rows, "fetch_id", "url", "html")
     domains = rows.select("fetch_id", U.hostname(F.col("url")).alias("domain"))
-    return found.join(domains, "fetch_id").where(links.keeps_link(F.col("link"), F.col("domain"))).select("fetch_id", "link")
+    return links.filter_links(found.join(domains, "fetch_id"), "link", "domain").select("fetch_id", "link")
 
 
 def link_edges(spark: SparkSession, root: str) -> DataFrame:

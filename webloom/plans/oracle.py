@@ -140,9 +140,9 @@ SQL: dict[str, str] = {
     "url_upsert": f"""WITH b AS (SELECT sha256({N}) AS h, max(fetched_at) AS at FROM fetch_results GROUP BY 1)
 SELECT coalesce(u.url_hash, b.h) AS hash, coalesce(u.depth, 0) AS depth, CASE WHEN b.h IS NULL THEN u.status ELSE 'crawling' END AS status,
   CASE WHEN b.h IS NOT NULL AND u.url_hash IS NOT NULL THEN b.at ELSE u.last_crawled_at END AS last_crawled_at FROM urls u FULL JOIN b ON b.h = u.url_hash""",
-    "url_status_latest": f"""WITH e AS (SELECT url_id, CASE WHEN {OUTCOME} IN ('parse', 'skip') THEN 'crawled' ELSE 'failed' END AS st, fetched_at AS at FROM fetch_results),
-l AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY url_id ORDER BY at DESC, st DESC) = 1)
-SELECT u.url_id, coalesce(l.st, u.status) AS status, CASE WHEN l.st = 'crawled' THEN l.at ELSE u.last_crawled_at END AS last_crawled_at FROM urls u LEFT JOIN l ON l.url_id = u.url_id""",
+    "url_status_latest": f"""WITH e AS (SELECT url_id, CASE WHEN {OUTCOME} IN ('parse', 'skip') THEN 'crawled' ELSE 'failed' END AS st, fetched_at AS tm FROM fetch_results),
+l AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY url_id ORDER BY tm DESC, st DESC) = 1)
+SELECT u.url_id, coalesce(l.st, u.status) AS status, CASE WHEN l.st = 'crawled' THEN l.tm ELSE u.last_crawled_at END AS last_crawled_at FROM urls u LEFT JOIN l ON l.url_id = u.url_id""",
     "fetch_outcome": f"SELECT fetch_id, {OUTCOME} AS outcome, coalesce(strlen(html) <= 5242880, false) AS readable FROM fetch_results",
     "domain_rollup": "SELECT domain, count(*) AS urls, count_if(status = 'crawled') AS crawled, count_if(status = 'failed') AS failed, count_if(status = 'pending') AS pending, max(depth) AS deepest FROM urls GROUP BY domain",
     "session_rollup": """SELECT domain, status, count(*) AS sessions, CAST(sum(pages_crawled) AS BIGINT) AS crawled, CAST(sum(pages_queued) AS BIGINT) AS queued, CAST(sum(pages_failed) AS BIGINT) AS failed,
@@ -203,19 +203,19 @@ SELECT query, context, 'Context:' || chr(10) || context || chr(10) || chr(10) ||
   ('empty.net', 0, 0.0::DOUBLE, ['https://empty.net/sitemap.xml', 'https://empty.net/sitemap_index.xml'])) v(domain, disallow_count, crawl_delay, sitemaps)""",
     "sitemap_urls": """SELECT 'https://h.com/sm.xml' AS root, unnest(['https://h.com/a', 'https://h.com/b/', 'https://other.com/c', 'https://h.com/deep']) AS location""",
     "sitemap_seed": """SELECT 'h.com' AS domain, n AS normal, sha256(n) AS hash, 1 AS depth FROM (SELECT unnest(['https://h.com/a', 'https://h.com/b', 'https://h.com/deep']) AS n)""",
-    "rate_limit_slots": """WITH e AS (SELECT event_id, user_id, epoch_ms(ts) AS at, row_number() OVER (PARTITION BY user_id ORDER BY epoch_ms(ts), event_id) - 1 AS i FROM events)
-SELECT event_id, max(at - i * 72000000) OVER (PARTITION BY user_id ORDER BY at, event_id ROWS UNBOUNDED PRECEDING) + i * 72000000 AS slot FROM e""",
+    "rate_limit_slots": """WITH e AS (SELECT event_id, user_id, (epoch_us(ts) // 1000) AS tm, row_number() OVER (PARTITION BY user_id ORDER BY (epoch_us(ts) // 1000), event_id) - 1 AS i FROM events)
+SELECT event_id, max(tm - i * 72000000) OVER (PARTITION BY user_id ORDER BY tm, event_id ROWS UNBOUNDED PRECEDING) + i * 72000000 AS slot FROM e""",
     "retry_schedule": f"""WITH f AS (SELECT fetch_id, row_number() OVER (PARTITION BY url_id ORDER BY fetched_at, fetch_id) AS n FROM fetch_results WHERE {OUTCOME} = 'retry')
 SELECT fetch_id, CAST(n AS INT) AS attempt, CASE WHEN n < 3 THEN CAST(2000 * pow(2, n - 1) AS BIGINT) END AS delay_ms, n >= 3 AS exhausted FROM f""",
-    "crawl_lock_replay": """WITH RECURSIVE e AS (SELECT event_id, user_id, epoch_ms(ts) AS at, row_number() OVER (PARTITION BY user_id ORDER BY epoch_ms(ts), event_id) AS n FROM events),
-w AS (SELECT event_id, user_id, n, at AS held, true AS granted FROM e WHERE n = 1
-  UNION ALL SELECT e.event_id, e.user_id, e.n, CASE WHEN e.at >= w.held + 36000000 THEN e.at ELSE w.held END, e.at >= w.held + 36000000 FROM w JOIN e ON e.user_id = w.user_id AND e.n = w.n + 1)
+    "crawl_lock_replay": """WITH RECURSIVE e AS (SELECT event_id, user_id, (epoch_us(ts) // 1000) AS tm, row_number() OVER (PARTITION BY user_id ORDER BY (epoch_us(ts) // 1000), event_id) AS n FROM events),
+w AS (SELECT event_id, user_id, n, tm AS held, true AS granted FROM e WHERE n = 1
+  UNION ALL SELECT e.event_id, e.user_id, e.n, CASE WHEN e.tm >= w.held + 36000000 THEN e.tm ELSE w.held END, e.tm >= w.held + 36000000 FROM w JOIN e ON e.user_id = w.user_id AND e.n = w.n + 1)
 SELECT event_id, granted FROM w""",
-    "proxy_health": """WITH RECURSIVE e AS (SELECT fetch_id, proxy_used AS k, epoch_ms(fetched_at) AS at, coalesce(network_error, false) OR status_code >= 400 AS bad,
-  row_number() OVER (PARTITION BY proxy_used ORDER BY epoch_ms(fetched_at), fetch_id) AS n FROM fetch_results WHERE proxy_used IS NOT NULL),
-w AS (SELECT fetch_id, k, n, CAST(CASE WHEN bad THEN 1 ELSE 0 END AS INT) AS failures, true AS healthy, CASE WHEN bad THEN at END AS last FROM e WHERE n = 1
-  UNION ALL SELECT fetch_id, k, n, CAST(CASE WHEN bad THEN before + 1 ELSE 0 END AS INT), NOT bad OR (fine AND before + 1 < 3), CASE WHEN bad THEN at ELSE last END
-  FROM (SELECT e.*, w.last, CASE WHEN NOT w.healthy AND e.at - w.last > 300000 THEN 0 ELSE w.failures END AS before, w.healthy OR e.at - w.last > 300000 AS fine FROM w JOIN e ON e.k = w.k AND e.n = w.n + 1))
+    "proxy_health": """WITH RECURSIVE e AS (SELECT fetch_id, proxy_used AS k, (epoch_us(fetched_at) // 1000) AS tm, coalesce(network_error, false) OR status_code >= 400 AS bad,
+  row_number() OVER (PARTITION BY proxy_used ORDER BY (epoch_us(fetched_at) // 1000), fetch_id) AS n FROM fetch_results WHERE proxy_used IS NOT NULL),
+w AS (SELECT fetch_id, k, n, CAST(CASE WHEN bad THEN 1 ELSE 0 END AS INT) AS failures, true AS healthy, CASE WHEN bad THEN tm END AS last FROM e WHERE n = 1
+  UNION ALL SELECT fetch_id, k, n, CAST(CASE WHEN bad THEN before + 1 ELSE 0 END AS INT), NOT bad OR (fine AND before + 1 < 3), CASE WHEN bad THEN tm ELSE last END
+  FROM (SELECT e.*, w.last, CASE WHEN NOT w.healthy AND e.tm - w.last > 300000 THEN 0 ELSE w.failures END AS before, w.healthy OR e.tm - w.last > 300000 AS fine FROM w JOIN e ON e.k = w.k AND e.n = w.n + 1))
 SELECT fetch_id, failures, healthy FROM w""",
     "header_rotation": """SELECT fetch_id, ['Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/124.0.0.0 Safari/537.36',
  'Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/123.0.0.0 Safari/537.36',

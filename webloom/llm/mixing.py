@@ -18,8 +18,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webloom.operators.order import running
+from webloom.session import materialize
 
 BLOCK_TOKENS, SHARD_TOKENS = 32_768, 2_097_152
+#: Rounds in which documents that fit fill what a source still wants; each leaves less than the smallest that was passed over.
+FILL_ROUNDS = 3
 #: The splitting table has a row for each shard and a column for each source.
 MAX_SHARDS = 65_536
 
@@ -73,12 +76,17 @@ def _permute(index: np.ndarray, n: int, seed: int) -> np.ndarray:
     return (index * step + int(rng.integers(0, n))) % n
 
 
+def _lookup(sources: list[str], values: dict[str, int]):
+    """A column with the value of the row's source."""
+    return F.create_map(*[x for s in sources for x in (F.lit(s), F.lit(int(values[s])))])[F.col("source")]
+
+
 def mix(docs: DataFrame, key: str, source: str, size: str, targets: dict[str, tuple[float, int]], block_tokens: int = BLOCK_TOKENS, shard_tokens: int = SHARD_TOKENS, seed: int = 29) -> DataFrame:
     """(shard, place, key, source, pass, tokens): the mixture, a row for each use of a document.
 
     ``targets`` maps a source to its share and the most uses of one document.  Documents of other or
     null sources and of null or no size are not used; keys must be unique; an empty input gives no
-    rows.  A source stays within one document of its wanted tokens.
+    rows.  A source stays below its wanted tokens by about the size of its smallest documents.
     """
     spark = docs.sparkSession
     names = sorted(targets)
@@ -92,14 +100,21 @@ def mix(docs: DataFrame, key: str, source: str, size: str, targets: dict[str, tu
     full = {s: wanted[s] // have[s] for s in used}
     rest = {s: wanted[s] - full[s] * have[s] for s in used}
     passes = {s: full[s] + (rest[s] > 0) for s in used}
-    laid = rows.where(F.col("source").isin(*used)).withColumn("passes", F.create_map(*[x for s in used for x in (F.lit(s), F.lit(int(passes[s])))])[F.col("source")])
+    laid = rows.where(F.col("source").isin(*used)).withColumn("passes", _lookup(used, passes).cast("int"))
     laid = laid.withColumn("pass", F.explode(F.sequence(F.lit(0), F.col("passes") - 1))).drop("passes")
     laid = laid.withColumn("mark", F.xxhash64("key", "pass", F.lit(seed)))
     ordered = running(laid, ["source", "pass"], [F.col("mark").asc(), F.col("key").asc()], "size")
-    # the last pass of a source ends where its wanted tokens end, to the nearest document
-    last = F.create_map(*[x for s in used for x in (F.lit(s), F.lit(int(full[s])))])[F.col("source")]
-    stop = F.create_map(*[x for s in used for x in (F.lit(s), F.lit(int(rest[s])))])[F.col("source")]
-    kept = ordered.where((F.col("pass") < last) | (F.col("before") + F.col("size") / 2 <= stop))
+    # the last pass of a source ends before its wanted tokens do; what is left is filled with later documents that fit
+    ordered = materialize(ordered, "laid")
+    last = _lookup(used, full)
+    kept = ordered.where((F.col("pass") < last) | (F.col("before") + F.col("size") <= _lookup(used, rest))).select(*ordered.columns)
+    for _ in range(FILL_ROUNDS):
+        have_now = {r["source"]: int(r["t"]) for r in kept.groupBy("source").agg(F.sum("size").alias("t")).collect()}
+        gap = {s: wanted[s] - have_now.get(s, 0) for s in used}
+        left = ordered.where((F.col("pass") == last) & (F.col("size") <= _lookup(used, gap))).join(kept.select("key", "pass"), ["key", "pass"], "left_anti")
+        again = running(left.withColumnRenamed("before", "place_before").drop("position"), ["source"], [F.col("mark").asc(), F.col("key").asc()], "size")
+        more = again.where(F.col("before") + F.col("size") <= _lookup(used, gap)).drop("before").withColumnRenamed("place_before", "before")
+        kept = materialize(kept.unionByName(more.select(*kept.columns)), "kept")
     blocks = {s: full[s] * -(-have[s] // block_tokens) + -(-rest[s] // block_tokens) for s in used}
     each = {s: -(-have[s] // block_tokens) for s in used}
     shards = int(max(1, min(MAX_SHARDS, total // shard_tokens)))

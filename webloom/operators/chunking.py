@@ -1,104 +1,129 @@
-"""Sentence-window chunks: heading blocks, sentences, and a fold under a token budget, all inside a row."""
+"""Sentence-window chunks under a token budget, with heading blocks and offsets.
+
+The rule is sequential in the sentences of a block.  It runs as one linear pass over Arrow batches:
+a fold with array columns copies its result at every step, which is quadratic in long texts.
+"""
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from webloom.functions.text import WS, token_estimate, trim_space, units, words
+from webloom.functions.text import WS, trim_space
+from webloom.operators.rows import map_rows
+
+#: Fixed value: the white space class again, for Python's expressions.
+SPACE = "[\\t\\n\\x0b\\f\\r \\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000\\ufeff]"
+EDGES = re.compile(f"^{SPACE}+|{SPACE}+\\Z")
+HEADING = re.compile(f"[A-Z]|#+{SPACE}")
+MARKS = re.compile(f"^#+{SPACE}*")
+BREAK = re.compile(f"(?<=[.!?]){SPACE}+(?=[A-Z\"'(])")
+WORDS = re.compile(f"{SPACE}+")
+ASTRAL = re.compile("[\U00010000-\U0010ffff]")
+HEADING_UNITS = 120
+
+
+def _units(text: str) -> int:
+    return len(text) if text.isascii() else len(text) + len(ASTRAL.findall(text))
+
 
-SENTENCE_BREAK = rf"(?<=[.!?]){WS}+(?=[A-Z\"'(])"
+def _tokens(text: str) -> int:
+    return -(-_units(text) // 4)
 
 
-def paragraph_blocks(text: Column) -> Column:
-    """array<struct<heading, body>>: lines under their latest heading; headings themselves are no body.
+def iter_blocks(text: str) -> Iterator[tuple[str | None, str]]:
+    """(heading, body): lines under their latest heading; headings themselves are no body.
 
     A heading is a line under 120 units that does not end in a full stop and starts with a capital
     or number signs.
     """
-    lines = F.filter(F.transform(F.split(text, "\n+"), trim_space), lambda x: x != "")
-    marked = F.transform(
-        lines,
-        lambda x: F.struct(x.alias("line"), ((units(x) < 120) & ~F.endswith(x, F.lit(".")) & x.rlike(rf"^[A-Z]|^#+{WS}")).alias("head")),
-    )
-    block = "struct<heading: string, body: string>"
-    start = F.struct(F.array().cast(f"array<{block}>").alias("out"), F.lit(None).cast("string").alias("heading"), F.array().cast("array<string>").alias("held"))
+    heading: str | None = None
+    held: list[str] = []
+    for raw in text.split("\n"):
+        line = EDGES.sub("", raw)
+        if not line:
+            continue
+        if HEADING.match(line) and line[-1] != "." and _units(line) < HEADING_UNITS:
+            if held:
+                yield heading, " ".join(held)
+                held = []
+            heading = MARKS.sub("", line)
+        else:
+            held.append(line)
+    if held:
+        yield heading, " ".join(held)
+
+
+def iter_sentences(text: str) -> Iterator[str]:
+    return filter(None, (EDGES.sub("", x) for x in BREAK.split(text)))
+
+
+def iter_windows(parts: Iterator[str], target: int, overlap: int) -> Iterator[str]:
+    """Windows of one block; each repeats the last ``overlap`` new sentences of the one before.
+
+    A window closes when the next sentence would pass ``target`` tokens and it holds more than
+    ``overlap`` sentences.
+    """
+    window: list[str] = []
+    used = carried = 0
+    for part in parts:
+        size = _tokens(part)
+        if used + size > target and len(window) > overlap:
+            yield EDGES.sub("", " ".join(window))
+            fresh = window[carried:]
+            window = fresh[len(fresh) - overlap :] if 0 < overlap < len(fresh) else fresh if overlap else []
+            carried = len(window)
+            used = _tokens(" ".join(window))
+        window.append(part)
+        used += size
+    if window:
+        yield EDGES.sub("", " ".join(window))
+
+
+def chunks_of(text: str, target: int, overlap: int, minimum: int) -> list[tuple]:
+    """(index, total, text, tokens, start, end, heading, words) of each chunk.
+
+    Offsets run over all windows, dropped ones too, with one unit between; windows under ``minimum``
+    tokens are dropped and not numbered.  With no overlap nothing is repeated.
+    """
+    kept, at = [], 0
+    for heading, body in iter_blocks(text):
+        for window in iter_windows(iter_sentences(body), target, overlap):
+            size = _units(window)
+            if -(-size // 4) >= minimum:
+                kept.append((window, -(-size // 4), at, at + size, heading, sum(1 for w in WORDS.split(window) if w)))
+            at += size + 1
+    return [(i, len(kept), *c) for i, c in enumerate(kept)]
 
-    def close(s: Column) -> Column:
-        body = F.struct(s["heading"].alias("heading"), F.array_join(s["held"], " ").alias("body"))
-        return F.when(F.size(s["held"]) > 0, F.concat(s["out"], F.array(body))).otherwise(s["out"])
 
-    def step(s: Column, x: Column) -> Column:
-        title = F.regexp_replace(x["line"], rf"^#+{WS}*", "")
-        headed = F.struct(close(s).alias("out"), title.alias("heading"), F.array().cast("array<string>").alias("held"))
-        longer = F.struct(s["out"].alias("out"), s["heading"].alias("heading"), F.concat(s["held"], F.array(x["line"])).alias("held"))
-        return F.when(x["head"], headed).otherwise(longer)
+def _carried(docs: DataFrame, carried: tuple[str, ...]) -> str:
+    return "".join(f"{c} {dict(docs.dtypes)[c]}, " for c in carried)
 
-    return F.aggregate(marked, start, step, close)
 
+def chunk_texts(docs: DataFrame, text: str, *carried: str, target: int = 512, overlap: int = 2, minimum: int = 50) -> DataFrame:
+    """A row for each chunk, with the carried columns; null texts have none.  No shuffle."""
+    schema = _carried(docs, carried) + "chunk_index int, total_chunks int, text string, token_estimate int, char_start int, char_end int, section_heading string, word_count int"
 
-def sentences(text: Column) -> Column:
-    return F.filter(F.transform(F.split(text, SENTENCE_BREAK), trim_space), lambda x: x != "")
+    def make():
+        return lambda *values: [(*values[:-1], *c) for c in chunks_of(values[-1], target, overlap, minimum)]
 
+    return map_rows(docs.where(F.col(text).isNotNull()).select(*carried, text), schema, make)
 
-def block_chunks(parts: Column, target: int, overlap: int) -> Column:
-    """array<string>: the sentences of one block in chunks that repeat the last ``overlap`` new sentences of the one before.
 
-    A chunk closes when the next sentence would pass ``target`` tokens and it holds more than
-    ``overlap`` sentences.
-    """
-    texts = "array<string>"
-    start = F.struct(F.array().cast(texts).alias("out"), F.array().cast(texts).alias("cur"), F.lit(0).alias("tokens"), F.lit(0).alias("carried"))
-    joined = lambda a: trim_space(F.array_join(a, " "))
-
-    def step(s: Column, x: Column) -> Column:
-        size = token_estimate(x)
-        fresh = F.slice(s["cur"], s["carried"] + 1, F.size(s["cur"]))
-        last = F.slice(fresh, F.greatest(F.size(fresh) - overlap + 1, F.lit(1)), F.lit(overlap)) if overlap else F.array().cast(texts)
-        broken = F.struct(
-            F.concat(s["out"], F.array(joined(s["cur"]))).alias("out"),
-            F.concat(last, F.array(x)).alias("cur"),
-            (F.when(F.size(last) > 0, token_estimate(F.array_join(last, " "))).otherwise(0) + size).alias("tokens"),
-            F.size(last).alias("carried"),
-        )
-        grown = F.struct(s["out"].alias("out"), F.concat(s["cur"], F.array(x)).alias("cur"), (s["tokens"] + size).alias("tokens"), s["carried"].alias("carried"))
-        return F.when((s["tokens"] + size > target) & (F.size(s["cur"]) > overlap), broken).otherwise(grown)
-
-    return F.aggregate(parts, start, step, lambda s: F.when(F.size(s["cur"]) > 0, F.concat(s["out"], F.array(joined(s["cur"])))).otherwise(s["out"]))
-
-
-def chunk_array(text: Column, target: int = 512, overlap: int = 2, minimum: int = 50) -> Column:
-    """array<struct> of the chunks of a text, in order, with offsets and counts.
-
-    Offsets run over all chunks, dropped ones too, each with one unit between; chunks under
-    ``minimum`` tokens are dropped and not numbered.  With no overlap nothing is repeated.
-    """
-    per_block = F.transform(
-        paragraph_blocks(text), lambda b: F.transform(block_chunks(sentences(b["body"]), target, overlap), lambda t: F.struct(b["heading"].alias("heading"), t.alias("text")))
-    )
-    flat = F.flatten(per_block)
-    shape = "array<struct<heading: string, text: string, start: int, size: int>>"
-    start = F.struct(F.array().cast(shape).alias("out"), F.lit(0).alias("at"))
-
-    def place(s: Column, c: Column) -> Column:
-        size = units(c["text"]).cast("int")
-        row = F.struct(c["heading"].alias("heading"), c["text"].alias("text"), s["at"].alias("start"), size.alias("size"))
-        return F.struct(F.concat(s["out"], F.array(row)).alias("out"), (s["at"] + size + 1).alias("at"))
-
-    placed = F.aggregate(flat, start, place, lambda s: s["out"])
-    kept = F.filter(placed, lambda c: F.ceil(c["size"] / 4) >= minimum)
-    return F.transform(
-        kept,
-        lambda c, i: F.struct(
-            i.cast("int").alias("chunk_index"), F.size(kept).alias("total_chunks"), c["text"].alias("text"), F.ceil(c["size"] / 4).cast("int").alias("token_estimate"),
-            c["start"].alias("char_start"), (c["start"] + c["size"]).alias("char_end"), c["heading"].alias("section_heading"), F.size(words(c["text"])).alias("word_count"),
-        ),
-    )
+def paragraph_blocks(docs: DataFrame, text: str, *carried: str) -> DataFrame:
+    """(carried, n, heading, body): the heading blocks of each text; null texts have none."""
 
+    def make():
+        return lambda *values: [(*values[:-1], n, heading, body) for n, (heading, body) in enumerate(iter_blocks(values[-1]))]
 
-def chunk_texts(docs: DataFrame, text: str, *carried: str, target: int = 512, overlap: int = 2, minimum: int = 50) -> DataFrame:
-    """A row for each chunk, with the carried columns; null texts have none.  No shuffle."""
-    return docs.where(F.col(text).isNotNull()).select(*carried, F.inline(chunk_array(F.col(text), target, overlap, minimum)))
+    return map_rows(docs.where(F.col(text).isNotNull()).select(*carried, text), _carried(docs, carried) + "n int, heading string, body string", make)
+
+
+def sentences(text: Column) -> Column:
+    return F.filter(F.transform(F.split(text, rf"(?<=[.!?]){WS}+(?=[A-Z\"'(])"), trim_space), lambda x: x != "")
 
 
 def embedding_input(text: Column, section: Column, title: Column | None = None) -> Column:

@@ -184,8 +184,7 @@ def sentence_split(spark: SparkSession, root: str) -> DataFrame:
 
 
 def paragraph_blocks(spark: SparkSession, root: str) -> DataFrame:
-    rows = load(spark, root, "documents", "doc_id", "text").where("text is not null")
-    return rows.select("doc_id", F.posexplode(chunking.paragraph_blocks(F.col("text"))).alias("n", "b")).select("doc_id", "n", "b.heading", "b.body")
+    return chunking.paragraph_blocks(load(spark, root, "documents", "doc_id", "text"), "text", "doc_id")
 
 
 def chunk_text(spark: SparkSession, root: str) -> DataFrame:

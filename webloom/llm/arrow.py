@@ -2,36 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from webloom.operators.rows import map_rows
 
-def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[..., Iterable[tuple]]]) -> DataFrame:
-    """Run a row expander over Arrow batches.
-
-    ``make`` is called once per task and returns ``f(*values) -> rows``; models and automata are
-    therefore built once per task and never per row.
-    """
-    target = df.sparkSession.createDataFrame([], schema).schema
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    arrow_schema = to_arrow_schema(target)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        expand = make()
-        for batch in batches:
-            out: list[tuple] = []
-            for values in zip(*(column.to_pylist() for column in batch.columns)):
-                out.extend(expand(*values))
-            columns = list(zip(*out)) if out else [[] for _ in arrow_schema]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(column, type=field.type) for column, field in zip(columns, arrow_schema)], schema=arrow_schema
-            )
-
-    return df.mapInArrow(run, target)
+__all__ = ["map_rows", "text_column"]
 
 
 def text_column(df: DataFrame, name: str):

@@ -3,8 +3,8 @@
 The blocks of a page are the lines of its extracted text, in order; each is joined to the DOM leaf
 block of the fetched page that it came from, whose ancestor tags and containers become features
 beside those of the text.  Weights are trained in numpy on a bounded sample of pages whose markup
-itself labels the body, each page once with and once without the features of that markup, and
-decoded by Viterbi.
+itself labels the body, each page once with and once without the features of that markup, every
+fourth also by its text alone, and decoded by Viterbi.
 """
 
 from __future__ import annotations
@@ -286,10 +286,12 @@ def training_pages(rows: list[tuple[str, str]]) -> list[tuple[list[list[int]], l
                 side[lead] = side.get(lead, 0) + 1
     outside = {lead for lead, n in apart.items() if n >= 2 and len(lead) < 60 and n > 0.5 * body.get(lead, 0)}
     out = []
-    for lines, blocks in parsed:
+    for number, (lines, blocks) in enumerate(parsed):
         found = {b[0]: b for b in blocks}
         full, bare, text_only, labels = [], [], [], []
         kept = [x for x in lines if x.strip()]
+        if any(len(x) > 100 and text_key(x) not in found for x in kept):
+            continue  # text and markup were damaged differently: its labels cannot be told
         for i, line in enumerate(kept):
             b = found.get(text_key(line))
             words = text_features(line, i, len(kept))
@@ -300,13 +302,13 @@ def training_pages(rows: list[tuple[str, str]]) -> list[tuple[list[list[int]], l
             text_only.append([*words, feature("nodom")])
         if labels:
             out += [(full, labels), (bare, labels)]
-            if len(out) % 8 == 0:
+            if number % 4 == 0:
                 out.append((text_only, labels))
     return out
 
 
 def dom_table(fetched: DataFrame, key: str, markup: str, weights) -> DataFrame:
-    """(key, dom_keys, dom_scores): the leaf blocks of each page as text keys and the sums of their DOM weights.
+    """(key, dom_keys, dom_scores, dom_sizes): the leaf blocks of each page as text keys and the sums of their DOM weights.
 
     ``weights`` is the broadcast weight vector.  The field is linear in its features, so the markup
     side of a block is one number, and the html itself is never shuffled.
@@ -317,15 +319,32 @@ def dom_table(fetched: DataFrame, key: str, markup: str, weights) -> DataFrame:
         w = weights.value[0]
 
         def expand(k, value):
-            best: dict[int, float] = {}
+            best: dict[int, tuple[float, int]] = {}
             for b in page_blocks(value):
                 if b[0] not in best:
-                    best[b[0]] = float(w[b[1]].sum() + (w[b[2]].sum() if b[2] else 0.0))
-            return [(k, list(best), list(best.values()))] if best else []
+                    best[b[0]] = (float(w[b[1]].sum() + (w[b[2]].sum() if b[2] else 0.0)), len(b[4]))
+            return [(k, list(best), [x for x, _ in best.values()], [n for _, n in best.values()])] if best else []
 
         return expand
 
-    return map_rows(fetched.select(key, markup), f"{key} {kind}, dom_keys array<long>, dom_scores array<float>", make)
+    return map_rows(fetched.select(key, markup), f"{key} {kind}, dom_keys array<long>, dom_scores array<float>, dom_sizes array<int>", make)
+
+
+def align(lines: list[str], keys: list[int], sizes: list[int]) -> list[int]:
+    """The block of each line, or -1: the one of the same text, else the next free one after the line before if it is about as long.
+
+    The second way serves lines whose text was damaged on one side only.
+    """
+    place = {k: i for i, k in enumerate(keys)}
+    out = [place.get(text_key(x), -1) for x in lines]
+    taken, last = set(out), -1
+    for i, at in enumerate(out):
+        if at < 0 and last + 1 < len(keys) and last + 1 not in taken and 0.5 <= sizes[last + 1] / max(1, len(lines[i])) <= 2:
+            out[i] = at = last + 1
+            taken.add(at)
+        if at >= 0:
+            last = at
+    return out
 
 
 def fit_field(pages: DataFrame, fetched: DataFrame, page_key: str, key: str, text: str, markup: str, bound: int = TRAIN_PAGES) -> ChainField:
@@ -353,20 +372,20 @@ def find_boilerplate(
     shared = pages.sparkSession.sparkContext.broadcast((field.w, field.t))
     kind = dict(pages.dtypes)[page_key]
     dom = dom_table(fetched.where(F.col(markup).isNotNull()), key, markup, shared)
-    joined = pages.where(F.col(text).isNotNull()).join(dom, key, "left").select(page_key, text, "dom_keys", "dom_scores")
+    joined = pages.where(F.col(text).isNotNull()).join(dom, key, "left").select(page_key, text, "dom_keys", "dom_scores", "dom_sizes")
 
     def make():
         model = ChainField()
         model.w, model.t = shared.value
         none = float(model.w[feature("nodom")])
 
-        def expand(k, value, keys, scores):
+        def expand(k, value, keys, scores, sizes):
             if skip_residue and inspect(value)[0] is not None:
                 return []
-            found = dict(zip(keys or (), scores or ()))
             lines = [(i, x) for i, x in enumerate(value.split("\n")) if x.strip()]
             sums = model.scores([text_features(x, j, len(lines)) for j, (_, x) in enumerate(lines)]).tolist()
-            sums = [a + found.get(text_key(x), none) for a, (_, x) in zip(sums, lines)]
+            at = align([x for _, x in lines], keys or [], sizes or [])
+            sums = [a + (scores[j] if j >= 0 else none) for a, j in zip(sums, at)]
             return [(k, i) for (i, _), y in zip(lines, model.viterbi(sums)) if y == 0]
 
         return expand

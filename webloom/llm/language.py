@@ -7,7 +7,7 @@ sample of labelled rows and applied to batches of fixed-length windows that cove
 from __future__ import annotations
 
 import re
-from collections import OrderedDict
+from collections import Counter, OrderedDict
 from collections.abc import Callable
 
 import numpy as np
@@ -139,14 +139,20 @@ class ByteNet:
 
 
 def training_windows(rows: list[tuple[str, str]], seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
-    """Windows and labels of (label code, text) rows; windows may start anywhere in a text, and some are cut short."""
+    """Windows and labels of (label code, text) rows; windows may start anywhere in a text, and some are cut short.
+
+    Rows of rarer languages give more windows, up to four times as many.
+    """
     rng = np.random.default_rng(seed)
     xs, ys = [], []
+    held = Counter(code for code, _ in rows)
+    most = max(held.values(), default=0)
     for code, text in rows:
         lines = [x for x in text.split("\n") if len(x) >= 20 and not CODE_LINE.search(x)]
         if not lines:
             continue
-        for line in rng.choice(np.array(lines, object), min(len(lines), TRAIN_WINDOWS), replace=False):
+        wanted = int(TRAIN_WINDOWS * min(4.0, most / held[code]))
+        for line in rng.choice(np.array(lines, object), wanted if wanted > TRAIN_WINDOWS else min(len(lines), wanted), replace=wanted > TRAIN_WINDOWS):
             raw = plain_line(line)
             at = int(rng.integers(0, max(1, len(raw) - WINDOW + 1)))
             piece = raw[at : at + (WINDOW if rng.random() < 0.7 else int(rng.integers(24, WINDOW)))]
@@ -179,11 +185,13 @@ def train(rows: list[tuple[str, str]]) -> ByteNet:
     x, y = training_windows(rows)
     if not len(x):
         return ByteNet()
-    labeller = Labeller(ByteNet().fit(x, y, epochs=2))
+    labeller = Labeller(ByteNet().fit(x, y, epochs=max(2, 300 * BATCH // len(x))))
     agreed = [(code, text) for code, text in rows if labeller.document(text)[0] == code]
+    kept, given = Counter(c for c, _ in agreed), Counter(c for c, _ in rows)
+    agreed += [(c, text) for c, text in rows if kept[c] < 0.5 * given[c]]  # too few of a language agree: the network is at fault
     lines = [(code, "\n".join(part for part in text.split("\n") if labeller.agrees(part, code))) for code, text in agreed]
     x, y = training_windows(lines)
-    return ByteNet().fit(x, y) if len(x) else labeller.net
+    return ByteNet().fit(x, y, epochs=max(EPOCHS, 800 * BATCH // max(1, len(x)))) if len(x) else labeller.net
 
 
 def is_code_or_byline(line: str) -> bool:
@@ -220,7 +228,7 @@ class Labeller:
 
     def agrees(self, line: str, code: str) -> bool:
         """Whether a line is not clearly in another language."""
-        lang, sure = self.lines([line])[line][:2]
+        lang, sure, _ = self.lines([line])[line]
         return LANGUAGES[lang] == code or sure < 0.8
 
     def document(self, text: str) -> tuple[str | None, float, list[tuple[int, str, float, int]]]:

@@ -169,7 +169,7 @@ def _spread(vectors: DataFrame, forest, visits: int, up: int, dimensions: int) -
 def _top(sims: np.ndarray, k: int) -> np.ndarray:
     """Columns of the k largest entries of each row; exact, by the largest of strided groups of columns first."""
     n, m = sims.shape
-    if m <= max(64, 4 * k):
+    if m <= max(64, 32 * k):
         return np.argpartition(-sims, min(k, m) - 1, 1)[:, :k] if m > k else np.tile(np.arange(m), (n, 1))
     groups = m // 16
     cut = groups * 16

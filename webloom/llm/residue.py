@@ -242,7 +242,7 @@ def _covered(line: str) -> tuple[int, frozenset[str]]:
                 kinds.add(kind)
     if words and (loose["latin"] >= 0.6 * len(words) and loose["latin"] >= 2 or loose["mash"] >= 0.6 * len(words)):
         return len(line), frozenset(["filler"])
-    if len(words) >= 12 and len(set(words)) <= max(4, len(words) // 8):
+    if len(words) >= 12 and len(set(words)) <= 6:
         return len(line), frozenset(["filler"])
     return sum(cover), frozenset(kinds)
 

@@ -31,7 +31,7 @@ def test_length_steps(spark, n, points):
 def test_first_head_only_and_scripts(spark):
     html = "<head>" + "x" * 500 + "</head><body><script>" + "y" * 500 + "</script><style>z</style>ab</body>"
     r = score(spark, "ab", html)
-    assert r.html_units == len("<body>ab</body>")
+    assert r.body_units == len("<body>ab</body>")
 
 
 def test_wall_of_text_and_boilerplate(spark):

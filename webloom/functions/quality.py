@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from webloom.functions.text import WS, sentence_count, units, word_count
+from webloom.functions.text import sentence_count, units, without_space, word_count
 
 #: Phrases that tell boilerplate.
 BOILERPLATE = [
@@ -29,7 +29,12 @@ def _steps(value: Column, steps: list[tuple[float, int]], last: int, inclusive:
 
 def body_markup(html: Column) -> Column:
     """The html without its first head and without scripts and styles."""
-    out = F.regexp_replace(html, r"(?is)\A(.*?)<head.*?</head>", "$1")
+    low = F.lower(html)
+    start = F.locate("<head", low)
+    end = F.instr(F.substr(low, start), F.lit("</head>"))
+    cut = F.concat(F.left(html, start - 1), F.substr(html, start + end + F.lit(len("</head>") - 1)))
+    # where small letters take more room than capitals, places differ, and the pattern is used
+    out = F.when(F.length(low) != F.length(html), F.regexp_replace(html, r"(?is)\A(.*?)<head.*?</head>", "$1")).when((start > 0) & (end > 0), cut).otherwise(html)
     out = F.regexp_replace(out, r"(?is)<script.*?</script>", "")
     return F.regexp_replace(out, r"(?is)<style.*?</style>", "")
 
@@ -40,17 +45,16 @@ def tag_count(html: Column, tag: str) -> Column:
 
 def features(text: Column, html: Column, published: Column) -> dict[str, Column]:
     """What the scores are made of."""
-    body, whole = units(body_markup(html)), units(html)
-    lowered = F.lower(text)
     hits = F.lit(0)
     for phrase in BOILERPLATE:
-        hits = hits + F.when(F.contains(lowered, F.lit(phrase)), 1).otherwise(0)
+        hits = hits + F.when(F.contains(F.lower(text), F.lit(phrase)), 1).otherwise(0)
     return {
         "word_count": word_count(text),
         "sentence_count": sentence_count(text),
-        "letters": units(F.regexp_replace(text, WS, "")),
+        "letters": units(without_space(text)),
         "text_units": units(text),
-        "html_units": F.when(body > 0, body).otherwise(whole),
+        "body_units": units(body_markup(html)),
+        "page_units": units(html),
         **{f"{tag}_count": tag_count(html, tag) for tag in ("h1", "h2", "h3", "p", "li")},
         "boilerplate_hits": hits,
         "has_meta_date": F.contains(html, F.lit(PUBLISHED)) | F.contains(html, F.lit("datePublished")),
@@ -63,7 +67,8 @@ def features(text: Column, html: Column, published: Column) -> dict[str, Column]
 def scores() -> dict[str, Column]:
     """The six parts, from the feature columns."""
     c = F.col
-    ratio = F.when(c("html_units") > 0, c("text_units") / c("html_units")).otherwise(F.lit(0.0))
+    size = F.when(c("body_units") > 0, c("body_units")).otherwise(c("page_units"))
+    ratio = F.when(size > 0, c("text_units") / size).otherwise(F.lit(0.0))
     per_sentence = c("word_count") / c("sentence_count")
     ari = F.when(c("word_count") == 0, F.lit(0.0)).otherwise(F.lit(4.71) * (c("letters") / c("word_count")) + F.lit(0.5) * per_sentence - F.lit(21.43))
     readable = F.when(ari < 1, F.lit(4)).otherwise(_steps(ari, [(6, 12), (14, 20), (18, 15)], 8, inclusive=True))

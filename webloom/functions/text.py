@@ -5,15 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: The white space class and characters outside the basic plane, as read by Java and RE2 alike.
+#: The white space class, as read by Java and RE2 alike, and its characters.
 SPACE = r"\t\n\x0B\f\r \x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}"
 WS = f"[{SPACE}]"
-ASTRAL = r"[\x{10000}-\x{10FFFF}]"
+SPACES = "\t\n\x0b\f\r \xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
 
 
 def units(text: Column) -> Column:
     """Length in UTF-16 units."""
-    return F.length(text) + F.regexp_count(text, F.lit(ASTRAL))
+    return F.floor(F.octet_length(F.encode(text, "UTF-16BE")) / 2).cast("int")
+
+
+def without_space(text: Column) -> Column:
+    return F.translate(text, SPACES, "")
 
 
 def trim_space(text: Column) -> Column:

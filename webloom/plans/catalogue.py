@@ -331,6 +331,33 @@ def latency_percentiles(spark: SparkSession, root: str) -> DataFrame:
     return control.latency_percentiles(load(spark, root, "events", "event_type", "value"), "event_type", "value")
 
 
+def vector_text(spark: SparkSession, root: str) -> DataFrame:
+    """Vectors through their text form and back; the round trip changes nothing."""
+    v = F.col("embedding")
+    rows = load(spark, root, "embeddings", "vec_id", "embedding")
+    return rows.select("vec_id", F.size(V.from_text(V.to_text(v))).alias("dimensions"), (V.from_text(V.to_text(v)) == v).alias("same"))
+
+
+def proxy_servers(spark: SparkSession, root: str) -> DataFrame:
+    """Proxy URLs taken apart, percent-decoded."""
+    rows = spark.createDataFrame([("http://us%40er:p%3Ass@proxy.net:3128/",), ("https://proxy.net:443",), ("socks5://p.net",)], "url string")
+    return rows.select("url", U.proxy_parts(F.col("url")).alias("p")).select("url", "p.server", "p.username", "p.password")
+
+
+def seen_links(spark: SparkSession, root: str) -> DataFrame:
+    """Referential checks of the edge table: ends that are no known URL."""
+    urls = load(spark, root, "urls", "url_id")
+    edges = load(spark, root, "links", "from_url_id", "to_url_id")
+    lost = frontier.orphans(edges, urls, "from_url_id", "url_id").unionAll(frontier.orphans(edges, urls, "to_url_id", "url_id"))
+    return lost.distinct()
+
+
+def table_schema(spark: SparkSession, root: str) -> DataFrame:
+    """Column names and types of the persistent tables, from the catalogue of the reader."""
+    rows = [(t, f.name, i) for t in ("urls", "pages", "links", "chunks", "fetch_results", "crawl_sessions") for i, f in enumerate(load(spark, root, t).schema)]
+    return spark.createDataFrame(rows, "table_name string, column_name string, place int")
+
+
 def table_peek(spark: SparkSession, root: str) -> DataFrame:
     return load(spark, root, "urls", "url_id", "url", "status").orderBy("url_id").limit(10)
 
@@ -341,7 +368,7 @@ QUERIES = {
         latest_pages, orphan_rows, cascade_delete, links_extract, links_filter, link_edges, link_degree, children_queued, crawl_bfs, needs_js, page_meta, page_body_text,
         meta_fallbacks, main_content, doc_quality, text_counts, sentence_split, paragraph_blocks, chunk_text, chunk_documents, embedding_input, rag_documents, unembedded_batch,
         embed_validate, embed_apply, knn_join_source, rag_context, robots_rules, robots_summary, robots_allowed, sitemap_urls, sitemap_seed, rate_limit_slots, retry_schedule,
-        crawl_lock_replay, proxy_health, header_rotation, crawl_jobs, latency_percentiles, table_peek,
+        crawl_lock_replay, proxy_health, header_rotation, crawl_jobs, latency_percentiles, table_peek, vector_text, proxy_servers, seen_links, table_schema,
     )},
     **{f"quality_{p.removesuffix('_score')}": _quality(p) for p in Q.PARTS},
     "quality_total": _quality("total", "word_count", "sentence_count", "avg_words_per_sentence"),

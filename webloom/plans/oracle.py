@@ -226,6 +226,11 @@ SELECT fetch_id, failures, healthy FROM w""",
  ['en-US,en;q=0.9', 'en-GB,en;q=0.9', 'en-US,en;q=0.8,es;q=0.5', 'en-CA,en;q=0.9,fr;q=0.7'][fetch_id % 4 + 1] AS accept_language FROM fetch_results""",
     "crawl_jobs": "SELECT sha256('s|' || url_hash) AS job_id, url_hash, domain, depth FROM urls WHERE domain IS NOT NULL AND depth >= 0 AND depth < 3 AND length(url_hash) > 0",
     "latency_percentiles": "SELECT event_type, quantile_cont(value, 0.95) AS p95, quantile_cont(value, 0.99) AS p99, count(value) AS n FROM events GROUP BY event_type",
+    "vector_text": "SELECT vec_id, len(embedding) AS dimensions, true AS same FROM embeddings",
+    "proxy_servers": """SELECT * FROM (VALUES ('http://us%40er:p%3Ass@proxy.net:3128/', 'http://proxy.net:3128', 'us@er', 'p:ss'), ('https://proxy.net:443', 'https://proxy.net', NULL, NULL),
+  ('socks5://p.net', 'socks5://p.net', NULL, NULL)) v(url, server, username, password)""",
+    "seen_links": """SELECT DISTINCT from_url_id, to_url_id FROM links WHERE from_url_id IS NULL OR to_url_id IS NULL OR from_url_id NOT IN (SELECT url_id FROM urls) OR to_url_id NOT IN (SELECT url_id FROM urls)""",
+    "table_schema": "SELECT table_name, column_name, CAST(ordinal_position - 1 AS INT) AS place FROM information_schema.columns WHERE table_name IN ('urls', 'pages', 'links', 'chunks', 'fetch_results', 'crawl_sessions')",
     "table_peek": "SELECT url_id, url, status FROM urls ORDER BY url_id LIMIT 10",
     **{f"quality_{p}": PAGE_QUALITY + f"SELECT page_id, {p}_score FROM z" for p in ("length", "density", "readability", "structure", "uniqueness", "freshness")},
     "quality_total": PAGE_QUALITY + "SELECT page_id, coalesce(total, 0) AS total, w AS word_count, s AS sentence_count, floor(w / s * 10 + 0.5) / 10 AS avg_words_per_sentence FROM z",

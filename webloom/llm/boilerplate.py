@@ -372,7 +372,12 @@ def find_boilerplate(
     shared = pages.sparkSession.sparkContext.broadcast((field.w, field.t))
     kind = dict(pages.dtypes)[page_key]
     dom = dom_table(fetched.where(F.col(markup).isNotNull()), key, markup, shared)
-    joined = pages.where(F.col(text).isNotNull()).join(dom, key, "left").select(page_key, text, "dom_keys", "dom_scores", "dom_sizes")
+    pages = pages.where(F.col(text).isNotNull())
+    columns = [page_key, text, "dom_keys", "dom_scores", "dom_sizes"]
+    joined = pages.where(F.col(key).isNotNull()).join(dom, key, "left").select(*columns)
+    # pages that name no fetch stay out of the join, where they would all meet in one partition
+    alone = pages.where(F.col(key).isNull()).select(page_key, text, *[F.lit(None).cast(dom.schema[c].dataType).alias(c) for c in columns[2:]])
+    joined = joined.unionByName(alone)
 
     def make():
         model = ChainField()

@@ -122,7 +122,7 @@ def pack(items: DataFrame, key: str, size: str, containers: dict[str, int], buck
 
     An item above the capacity is divided into full pieces and a rest; no other item is divided.
     Items of null or no size need no container and have no row.  Keys must be unique.  Containers of
-    a kind are numbered from 0, first those of whole pieces are left to come after the planned ones.
+    a kind are numbered from 0: those of the plan first, then those that hold a full piece each.
     """
     spark = items.sparkSession
     kinds = F.create_map(*[x for k, c in containers.items() for x in (F.lit(k), F.lit(int(c)))])

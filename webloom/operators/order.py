@@ -7,6 +7,7 @@ and their prefix sums give every row its place, so no group ever has to fit into
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import repeat
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -58,7 +59,8 @@ def _local(ranged: DataFrame, group: list[str], value: str | None) -> DataFrame:
         for batch in batches:
             local, sums = [], []
             values = batch.column(at).to_pylist() if at is not None else [0] * batch.num_rows
-            for key, v in zip(zip(*(batch.column(p).to_pylist() for p in places)), values):
+            keys = zip(*(batch.column(p).to_pylist() for p in places)) if places else repeat((), len(values))
+            for key, v in zip(keys, values):
                 if key != last:
                     last, seen, total = key, 0, 0
                 seen += 1

@@ -69,6 +69,20 @@ def test_depths_keep_the_least(spark):
     assert {tuple(r) for r in found.collect()} == {(1, 0), (2, 1), (3, 1), (4, 2), (5, 3)}
 
 
+def test_crawl_seeds_from_every_root(spark, tmp_path):
+    rnd = random.Random(5)
+    urls = [(i, rnd.choice([0, 0, 1, 2, None])) for i in range(300)]
+    edges = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(250)]
+    spark.createDataFrame(urls, "url_id long, depth int").write.parquet(f"{tmp_path}/urls.parquet")
+    spark.createDataFrame(edges, "from_url_id long, to_url_id long").write.parquet(f"{tmp_path}/links.parquet")
+    want = {i: 0 for i, depth in urls if depth == 0}
+    for level in range(1, 4):
+        for a, b in [(a, b) for a, b in edges if want.get(a) == level - 1]:
+            want.setdefault(b, level)
+    found = [tuple(r) for r in catalogue.crawl_bfs(spark, str(tmp_path)).select("url_id", "depth").collect()]
+    assert len(found) == len(want) and dict(found) == want and {0, 1, 2, 3} == set(want.values())
+
+
 def test_robots(spark):
     rules = robots.robots_rules(catalogue._robots(spark))
     assert {(r.domain, r.kind, r.pattern) for r in rules.collect()} == {

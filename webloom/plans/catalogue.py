@@ -130,7 +130,7 @@ def children_queued(spark: SparkSession, root: str) -> DataFrame:
 
 
 def crawl_bfs(spark: SparkSession, root: str) -> DataFrame:
-    seeds = load(spark, root, "urls", "url_id", "depth").where("depth = 0 and url_id % 100 = 1").select("url_id")
+    seeds = load(spark, root, "urls", "url_id", "depth").where("depth = 0").select("url_id")
     return frontier.crawl_depths(load(spark, root, "links", "from_url_id", "to_url_id"), seeds, 3)
 
 

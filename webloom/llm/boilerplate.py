@@ -367,12 +367,37 @@ def find_boilerplate(
     all come out; texts are read whole; an empty input gives no rows.  ``skip_residue`` leaves out
     texts that are template residue.
     """
+    kind = dict(pages.dtypes)[page_key]
+
+    def lines(k, value, gone):
+        return [(k, i) for i in gone]
+
+    return _decoded(pages.where(F.col(text).isNotNull()), fetched, page_key, key, text, markup, field, skip_residue, f"{page_key} {kind}, line_no long", lines)
+
+
+def main_body(
+    pages: DataFrame, fetched: DataFrame, page_key: str, key: str, text: str = "content", markup: str = "html", field: ChainField | None = None, skip_residue: bool = True
+) -> DataFrame:
+    """(page_key, text): every page with the lines of ``find_boilerplate`` taken out of its text.
+
+    Blank lines stay where they stand; null texts stay null, and with ``skip_residue`` texts that are
+    template residue stay whole; repeated rows all come out.
+    """
+    kind = dict(pages.dtypes)[page_key]
+
+    def rest(k, value, gone):
+        left = set(gone)
+        return [(k, value if value is None or not left else "\n".join(x for i, x in enumerate(value.split("\n")) if i not in left))]
+
+    return _decoded(pages, fetched, page_key, key, text, markup, field, skip_residue, f"{page_key} {kind}, {text} string", rest)
+
+
+def _decoded(pages: DataFrame, fetched: DataFrame, page_key: str, key: str, text: str, markup: str, field: ChainField | None, skip_residue: bool, schema: str, emit) -> DataFrame:
+    """The rows that ``emit`` (page, text, numbers of the boilerplate lines) makes of each page."""
     pages, fetched = pages.select(page_key, key, text), fetched.select(key, markup)
     field = field or fit_field(pages, fetched, page_key, key, text, markup)
     shared = pages.sparkSession.sparkContext.broadcast((field.w, field.t))
-    kind = dict(pages.dtypes)[page_key]
     dom = dom_table(fetched.where(F.col(markup).isNotNull()), key, markup, shared)
-    pages = pages.where(F.col(text).isNotNull())
     columns = [page_key, text, "dom_keys", "dom_scores", "dom_sizes"]
     joined = pages.where(F.col(key).isNotNull()).join(dom, key, "left").select(*columns)
     # pages that name no fetch stay out of the join, where they would all meet in one partition
@@ -385,14 +410,14 @@ def find_boilerplate(
         none = float(model.w[feature("nodom")])
 
         def expand(k, value, keys, scores, sizes):
-            if skip_residue and inspect(value)[0] is not None:
-                return []
+            if value is None or skip_residue and inspect(value)[0] is not None:
+                return emit(k, value, [])
             lines = [(i, x) for i, x in enumerate(value.split("\n")) if x.strip()]
             sums = model.scores([text_features(x, j, len(lines)) for j, (_, x) in enumerate(lines)]).tolist()
             at = align([x for _, x in lines], keys or [], sizes or [])
             sums = [a + (scores[j] if j >= 0 else none) for a, j in zip(sums, at)]
-            return [(k, i) for (i, _), y in zip(lines, model.viterbi(sums)) if y == 0]
+            return emit(k, value, [i for (i, _), y in zip(lines, model.viterbi(sums)) if y == 0])
 
         return expand
 
-    return map_rows(joined, f"{page_key} {kind}, line_no long", make)
+    return map_rows(joined, schema, make)

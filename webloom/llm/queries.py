@@ -14,6 +14,10 @@ def p1_found(spark: SparkSession, root: str) -> DataFrame:
     return residue.find_residue(load(spark, root, "pages", "page_id", "content"), "page_id").select("page_id")
 
 
+def p1_kept(spark: SparkSession, root: str) -> DataFrame:
+    return residue.without_residue(load(spark, root, "pages", "page_id", "content"), "page_id")
+
+
 def _misread(spark: SparkSession, root: str) -> DataFrame:
     pages = load(spark, root, "pages", F.lit("page").alias("record_kind"), F.col("page_id").alias("record_id"), F.col("content").alias("body"))
     fetched = load(spark, root, "fetch_results", F.lit("fetch").alias("record_kind"), F.col("fetch_id").alias("record_id"), F.col("html").alias("body"))
@@ -40,6 +44,10 @@ def p3_found(spark: SparkSession, root: str) -> DataFrame:
     return repeats.find_repeated_lines(_site_pages(spark, root), "domain", "url_id", "page_id")
 
 
+def p3_cleaned(spark: SparkSession, root: str) -> DataFrame:
+    return repeats.remove_repeated_lines(load(spark, root, "pages", "page_id", "content"), p3_found(spark, root), "page_id")
+
+
 def p3_sequences(spark: SparkSession, root: str) -> DataFrame:
     found = repeats.frequent_sequences(_site_pages(spark, root), "domain", "url_id", "page_id")
     return found.select(F.col("source").alias("domain"), F.to_json("pattern").alias("pattern"), F.size("pattern").alias("length"), "support")
@@ -131,6 +139,11 @@ def p7_found(spark: SparkSession, root: str) -> DataFrame:
     return boilerplate.find_boilerplate(pages, fetched, "page_id", "fetch_id")
 
 
+def p7_main_body(spark: SparkSession, root: str) -> DataFrame:
+    pages = load(spark, root, "pages", "page_id", "fetch_id", "content")
+    return boilerplate.main_body(pages, load(spark, root, "fetch_results", "fetch_id", "html"), "page_id", "fetch_id")
+
+
 def _containers(spark: SparkSession, root: str) -> dict[str, int]:
     rows = load(spark, root, "containers", "container_kind", "capacity_tokens").where("container_kind is not null and capacity_tokens > 0")
     return {r[0]: r[1] for r in rows.collect()}
@@ -171,9 +184,11 @@ def p10_profile(spark: SparkSession, root: str) -> DataFrame:
 
 QUERIES = {
     "p1_found": p1_found,
+    "p1_kept": p1_kept,
     "p2_found": p2_found,
     "p2_restored": p2_restored,
     "p3_found": p3_found,
+    "p3_cleaned": p3_cleaned,
     "p3_sequences": p3_sequences,
     "p4_found": p4_found,
     "p4_labels": p4_labels,
@@ -181,6 +196,7 @@ QUERIES = {
     "p6_found": p6_found,
     "p6_kept": p6_kept,
     "p7_found": p7_found,
+    "p7_main_body": p7_main_body,
     "p8_packed": p8_packed,
     "p8_fill": p8_fill,
     "p9_mixed": p9_mixed,

@@ -297,3 +297,16 @@ def find_residue(df: DataFrame, key: str, text: str = "content") -> DataFrame:
         return expand
 
     return map_rows(df.select(df[key], text_column(df, text)), f"{key} {kind}, residue_kind string, covered double, slots int", make)
+
+
+def without_residue(df: DataFrame, key: str, text: str = "content") -> DataFrame:
+    """(key, text): the rows that ``find_residue`` does not name, null and blank texts included."""
+    kind = dict(df.dtypes)[key]
+
+    def make():
+        def expand(k, value):
+            return [] if inspect(value)[0] else [(k, value)]
+
+        return expand
+
+    return map_rows(df.select(df[key], text_column(df, text).alias(text)), f"{key} {kind}, {text} string", make)

@@ -67,3 +67,19 @@ def test_operator(spark, tables):
     assert B.find_boilerplate(extra.where("false"), more, "page_id", "fetch_id", field=field).count() == 0
     long = spark.createDataFrame([(1, 5, "\n".join([body] * 4000))], "page_id long, fetch_id long, content string")
     assert B.find_boilerplate(long, fetched.where(F.lit(False)), "page_id", "fetch_id", field=field).count() < 100
+
+
+def test_lines_of_one_text_take_their_blocks_in_order(spark):
+    body = "A careful reader found the path after a long walk."
+    html = f"<html><body><div><li><a href='/a'>Old mills</a></li><li><a href='/b'>Home</a></li></div><main><h2>Old mills</h2><p>{body}</p></main><div><a href='/a'>Old mills</a><p>Legal</p></div></body></html>"
+    blocks = B.page_blocks(html)
+    keys = [b[0] for b in blocks]
+    assert [b[4] for b in blocks] == ["Old mills", "Home", "Old mills", body, "Old mills", "Legal"]
+    sizes = [len(b[4]) for b in blocks]
+    for lines, want in (([b[4] for b in blocks], list(range(6))), (["Home", "Old mills", body, "Legal"], [1, 2, 3, 5]), (["Old mills", body, "Old mills", "Legal"], [2, 3, 4, 5]), (["Old mills"] * 4, None)):
+        got = B.align(lines, keys, sizes)
+        assert got == want or want is None and got[:3] == [0, 2, 4] and got[3] == 4
+    shared = spark.sparkContext.broadcast((np.arange(B.WIDTH, dtype=np.float32), None))
+    row = B.dom_table(spark.createDataFrame([(1, html)], "fetch_id long, html string"), "fetch_id", "html", shared).first()
+    assert list(row.dom_keys) == keys and len(set(row.dom_scores[i] for i in (0, 2, 4))) == 3
+    assert sum(B.training_pages([("\n".join(b[4] for b in blocks), html)])[0][1]) == 2

@@ -12,6 +12,7 @@ from __future__ import annotations
 import html as entities
 import re
 import zlib
+from bisect import bisect_left, bisect_right
 from functools import lru_cache
 from itertools import pairwise
 
@@ -287,13 +288,14 @@ def training_pages(rows: list[tuple[str, str]]) -> list[tuple[list[list[int]], l
     outside = {lead for lead, n in apart.items() if n >= 2 and len(lead) < 60 and n > 0.5 * body.get(lead, 0)}
     out = []
     for number, (lines, blocks) in enumerate(parsed):
-        found = {b[0]: b for b in blocks}
+        known = [b[0] for b in blocks]
+        places = set(known)
         full, bare, text_only, labels = [], [], [], []
         kept = [x for x in lines if x.strip()]
-        if any(len(x) > 100 and text_key(x) not in found for x in kept):
+        if any(len(x) > 100 and text_key(x) not in places for x in kept):
             continue  # text and markup were damaged differently: its labels cannot be told
-        for i, line in enumerate(kept):
-            b = found.get(text_key(line))
+        for i, (line, at) in enumerate(zip(kept, same_text(kept, known))):
+            b = blocks[at] if at >= 0 else None
             words = text_features(line, i, len(kept))
             lead = _strip_site(line.split(":")[0]) if ":" in line[:40] else _strip_site(line)
             labels.append(int(b is not None and lead not in outside and b[3] == 1))
@@ -308,7 +310,7 @@ def training_pages(rows: list[tuple[str, str]]) -> list[tuple[list[list[int]], l
 
 
 def dom_table(fetched: DataFrame, key: str, markup: str, weights) -> DataFrame:
-    """(key, dom_keys, dom_scores, dom_sizes): the leaf blocks of each page as text keys and the sums of their DOM weights.
+    """(key, dom_keys, dom_scores, dom_sizes): all leaf blocks of each page, in order, as text keys and the sums of their DOM weights.
 
     ``weights`` is the broadcast weight vector.  The field is linear in its features, so the markup
     side of a block is one number, and the html itself is never shuffled.
@@ -319,24 +321,58 @@ def dom_table(fetched: DataFrame, key: str, markup: str, weights) -> DataFrame:
         w = weights.value[0]
 
         def expand(k, value):
-            best: dict[int, tuple[float, int]] = {}
-            for b in page_blocks(value):
-                if b[0] not in best:
-                    best[b[0]] = (float(w[b[1]].sum() + (w[b[2]].sum() if b[2] else 0.0)), len(b[4]))
-            return [(k, list(best), [x for x, _ in best.values()], [n for _, n in best.values()])] if best else []
+            blocks = page_blocks(value)
+            scores = [float(w[b[1]].sum() + (w[b[2]].sum() if b[2] else 0.0)) for b in blocks]
+            return [(k, [b[0] for b in blocks], scores, [len(b[4]) for b in blocks])] if blocks else []
 
         return expand
 
     return map_rows(fetched.select(key, markup), f"{key} {kind}, dom_keys array<long>, dom_scores array<float>, dom_sizes array<int>", make)
 
 
+def same_text(lines: list[str], keys: list[int]) -> list[int]:
+    """The block of the same text of each line, or -1.
+
+    Where several blocks have the text, the line takes the free one that lies next to the blocks of
+    the lines around it; the last lines of more lines than blocks share one.
+    """
+    wanted = [text_key(x) for x in lines]
+    places: dict[int, list[int]] = {}
+    for i, k in enumerate(keys):
+        places.setdefault(k, []).append(i)
+    out = [p[0] if (p := places.get(k)) and len(p) == 1 else -1 for k in wanted]
+    follow, ahead = [(len(keys), 0)] * len(lines), None
+    for i in range(len(lines) - 1, -1, -1):
+        if out[i] >= 0:
+            ahead = (out[i], i)
+        elif ahead:
+            follow[i] = ahead
+    last, seen = -1, {k: 0 for k in places}
+    for i, k in enumerate(wanted):
+        if len(p := places.get(k, ())) > 1:
+            limit, line = follow[i]
+            first = bisect_right(p, last)
+            until = max(first, bisect_left(p, limit)) if limit > last else len(p)
+            free = p[first:until] or p[first:]
+            if not free:
+                free = p[seen[k] :] or p[-1:]
+            best = free[0]
+            if line and limit > last and len(free) > 1:
+                near = bisect_left(free, limit - (line - i))
+                best = min([free[0], *free[max(0, near - 1) : near + 1]], key=lambda at: (min(at - last - 1 if last >= 0 else len(keys), abs(limit - (line - i) - at)), at))
+            out[i] = best
+            seen[k] = bisect_right(p, best)
+        if out[i] >= 0:
+            last = out[i]
+    return out
+
+
 def align(lines: list[str], keys: list[int], sizes: list[int]) -> list[int]:
     """The block of each line, or -1: the one of the same text, else the next free one after the line before if it is about as long.
 
     The second way serves lines whose text was damaged on one side only.
     """
-    place = {k: i for i, k in enumerate(keys)}
-    out = [place.get(text_key(x), -1) for x in lines]
+    out = same_text(lines, keys)
     taken, last = set(out), -1
     for i, at in enumerate(out):
         if at < 0 and last + 1 < len(keys) and last + 1 not in taken and 0.5 <= sizes[last + 1] / max(1, len(lines[i])) <= 2:

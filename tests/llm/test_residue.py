@@ -39,3 +39,8 @@ def test_operator(spark):
     assert found.columns == ["page_id", "residue_kind", "covered", "slots"]
     assert sorted(r.page_id for r in found.collect()) == [i for i, (_, k) in enumerate(CASES) if k] + [100]
     assert residue.find_residue(df.where("false"), "page_id").count() == 0
+
+
+@pytest.mark.parametrize("slot", ["{{ " + "customer.address | default(none) | " * 4 + "upper }}", "[insert " + "the long name of the place " * 4 + "here]", "%" + "VERY_LONG_NAME_" * 5 + "X%"])
+def test_long_slots(slot):
+    assert residue.inspect(f"Dear {slot}, your order has been shipped today.")[0] == "slot"

@@ -134,25 +134,25 @@ MOCK_LATIN = (
 KEY_MASH = "asdf qwer tzui jkl xxxx xxx xxxxx blah yxcv hjkl zxcv".split()
 #: Slot openers, each with the pattern of the whole slot.
 SLOTS = [
-    ("{{", r"\{\{\{?[^{}\n]{1,60}\}?\}\}"),
-    ("${", r"\$\{[^{}\n]{1,60}\}"),
-    ("#{", r"#\{[^{}\n]{1,60}\}"),
-    ("<%", r"<%=?[^%\n]{1,60}%>"),
-    ("{%", r"\{%[^%\n]{1,60}%\}"),
-    ("[[", r"\[\[[^\[\]\n]{1,60}\]\]"),
-    ("<<", r"<<[A-Za-z][^<>\n]{1,40}>>"),
-    ("%%", r"%%[A-Z][A-Z_]{1,40}%%"),
-    ("%", r"%[A-Z][A-Z_]{2,40}%"),
-    ("@@", r"@@[A-Za-z_]{2,40}@@"),
-    ("__", r"__[A-Z][A-Z_]{2,40}__"),
-    ("{", r"\{(?:[a-z_][a-z_.]{2,40}|\d)\}"),
-    ("[your", r"\[(?i:your) [^\]\n]{1,40}\]"),
-    ("[insert", r"\[(?i:insert) [^\]\n]{1,40}\]"),
-    ("<insert", r"<(?i:insert) [^<>\n]{1,40}>"),
-    ("<your", r"<(?i:your) [^<>\n]{1,40}>"),
+    ("{{", r"\{\{\{?[^{}\n]+\}?\}\}"),
+    ("${", r"\$\{[^{}\n]+\}"),
+    ("#{", r"#\{[^{}\n]+\}"),
+    ("<%", r"<%=?[^%\n]+%>"),
+    ("{%", r"\{%[^%\n]+%\}"),
+    ("[[", r"\[\[[^\[\]\n]+\]\]"),
+    ("<<", r"<<[A-Za-z][^<>\n]+>>"),
+    ("%%", r"%%[A-Z][A-Z_]+%%"),
+    ("%", r"%[A-Z][A-Z_]{2,}%"),
+    ("@@", r"@@[A-Za-z_]{2,}@@"),
+    ("__", r"__[A-Z][A-Z_]{2,}__"),
+    ("{", r"\{(?:[a-z_][a-z_.]{2,}|\d)\}"),
+    ("[your", r"\[(?i:your) [^\]\n]+\]"),
+    ("[insert", r"\[(?i:insert) [^\]\n]+\]"),
+    ("<insert", r"<(?i:insert) [^<>\n]+>"),
+    ("<your", r"<(?i:your) [^<>\n]+>"),
     ("[object object]", r"\[object Object\]"),
     ("xx/xx/xxxx", r"XX/XX/XXXX"),
-    ("$", r"\$[A-Z][A-Z_]{2,30}\$"),
+    ("$", r"\$[A-Z][A-Z_]{2,}\$"),
     ("tbd_", r"TBD_\w+"),
     ("undefined", r"\bundefined\b"),
 ]

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webloom.llm.arrow import map_rows
-from webloom.llm.residue import CODE_LINE
+from webloom.llm.residue import is_code
 
 LANGUAGES = ("en", "de", "fr", "es", "pt", "it", "nl", "ru")
 WINDOW = 64
@@ -148,7 +148,7 @@ def training_windows(rows: list[tuple[str, str]], seed: int = 11) -> tuple[np.nd
     held = Counter(code for code, _ in rows)
     most = max(held.values(), default=0)
     for code, text in rows:
-        lines = [x for x in text.split("\n") if len(x) >= 20 and not CODE_LINE.search(x)]
+        lines = [x for x in text.split("\n") if len(x) >= 20 and not is_code(x)]
         if not lines:
             continue
         wanted = int(TRAIN_WINDOWS * min(4.0, most / held[code]))
@@ -195,7 +195,7 @@ def train(rows: list[tuple[str, str]]) -> ByteNet:
 
 
 def is_code_or_byline(line: str) -> bool:
-    return bool(CODE_LINE.search(line) or BYLINE.match(line))
+    return bool(is_code(line) or BYLINE.match(line))
 
 
 class Labeller:

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from webloom.llm.arrow import map_rows
-from webloom.llm.residue import CODE_LINE
+from webloom.llm.residue import is_code
 
 #: Bound of the graded texts read for training.
 MAX_GRADED = 5_000
@@ -52,7 +52,7 @@ def english_prose(text: str) -> tuple[bool, list[str]]:
     lines: list[tuple[str, bool]] = []
     for line in text.split("\n"):
         words = TOKEN.findall(line.lower())
-        if not words or CODE_LINE.search(line):
+        if not words or is_code(line):
             continue
         hits: dict[str, int] = {}
         for w in words:

@@ -18,11 +18,19 @@ def p1_kept(spark: SparkSession, root: str) -> DataFrame:
     return residue.without_residue(load(spark, root, "pages", "page_id", "content"), "page_id")
 
 
-def _misread(spark: SparkSession, root: str) -> DataFrame:
+def _bodies(spark: SparkSession, root: str) -> DataFrame:
     pages = load(spark, root, "pages", F.lit("page").alias("record_kind"), F.col("page_id").alias("record_id"), F.col("content").alias("body"))
     fetched = load(spark, root, "fetch_results", F.lit("fetch").alias("record_kind"), F.col("fetch_id").alias("record_id"), F.col("html").alias("body"))
-    both = pages.unionByName(fetched).where(F.col("body").isNotNull())
-    model = encoding.fit_pairs(both.select("body"))
+    return pages.unionByName(fetched).where(F.col("body").isNotNull())
+
+
+def _pair_model(spark: SparkSession, root: str) -> encoding.PairModel:
+    """The one model of problems 2 and 4: both name the same misread pages."""
+    return encoding.fit_pairs(_bodies(spark, root).select("body"))
+
+
+def _misread(spark: SparkSession, root: str) -> DataFrame:
+    both, model = _bodies(spark, root), _pair_model(spark, root)
     keyed = both.select(F.struct("record_kind", "record_id").alias("key"), "body")
     return encoding.restore(keyed, "key", "body", model)
 
@@ -109,7 +117,7 @@ def _languages(spark: SparkSession, root: str) -> DataFrame:
     pages = load(spark, root, "pages", "page_id", "lang", "content").where(F.col("content").isNotNull())
     documents = load(spark, root, "documents", "doc_id", "lang", "text")
     net = language.fit_network([(documents, "doc_id", "lang", "text"), (pages, "page_id", "lang", "content")])
-    misread = encoding.misread_test(pages, encoding.fit_pairs(pages.select("content")))
+    misread = encoding.misread_test(pages, _pair_model(spark, root))
 
     def skip():
         garbled = misread()

@@ -68,3 +68,37 @@ def test_sequences_against_plain_growth(spark):
     found = repeats.frequent_sequences(frame(spark, rows), "domain", "url_id", "page_id", min_documents=4, share=0.3).collect()
     # frequent lines: head 8, share 12, print 12, legal 4; neighbours once the infrequent lines are gone
     assert sorted((len(r.pattern), r.support) for r in found) == sorted([(1, 8), (1, 12), (1, 12), (1, 4), (2, 8), (2, 12), (2, 4), (3, 8), (3, 4), (4, 4)])
+
+
+def test_sequences_reach_over_rotating_lines(spark):
+    rows = [(i, i, "s", f"menu\nnotice {'abc'[i % 3]}\nfooter\nlegal") for i in range(12)] + [(50, 50, "s", "footer"), (51, 50, "s", "menu")]
+    found = repeats.frequent_sequences(frame(spark, rows), "domain", "url_id", "page_id", min_documents=4, share=0.2).collect()
+    # menu-footer skips another notice each time and stays; menu-legal always skips the footer and goes;
+    # the rows of one document make no sequence
+    sizes = {(len(r.pattern), r.support) for r in found}
+    assert sizes >= {(2, 12), (3, 12), (4, 4)} and max(n for n, _ in sizes) == 4
+
+
+def test_growth_against_plain_growth(spark):
+    rnd = random.Random(11)
+    rows = [(i, i, "s", "\n".join(rnd.choice("abc") * 3 for _ in range(rnd.randint(3, 8)))) for i in range(30)]
+    found = repeats.frequent_sequences(frame(spark, rows), "domain", "url_id", "page_id", min_documents=4, share=0.2).collect()
+    docs = [t.split("\n") for *_, t in rows]
+    lines = {x for d in docs for x in d if sum(x in e for e in docs) >= 6}
+    docs = [[x for x in d if x in lines] for d in docs]
+    level = {(x,): [(n, i) for n, d in enumerate(docs) for i, y in enumerate(d) if y == x] for x in lines}
+    want = [(1, len({n for n, _ in ends})) for ends in level.values()]
+    while level:
+        grown = defaultdict(list)
+        for pattern, ends in level.items():
+            for n, i in set(ends):
+                for j in range(i + 1, min(i + 4, len(docs[n]))):
+                    grown[*pattern, docs[n][j]].append((n, j, frozenset(docs[n][i + 1 : j])))
+        level = {}
+        for pattern, places in grown.items():
+            support = len({n for n, *_ in places})
+            if support >= 6 and not frozenset.intersection(*(s for *_, s in places)):
+                level[pattern] = [(n, j) for n, j, _ in places]
+                want.append((len(pattern), support))
+    assert max(want)[0] > 2
+    assert sorted((len(r.pattern), r.support) for r in found) == sorted(want)

@@ -83,3 +83,19 @@ def test_lines_of_one_text_take_their_blocks_in_order(spark):
     row = B.dom_table(spark.createDataFrame([(1, html)], "fetch_id long, html string"), "fetch_id", "html", shared).first()
     assert list(row.dom_keys) == keys and len(set(row.dom_scores[i] for i in (0, 2, 4))) == 3
     assert sum(B.training_pages([("\n".join(b[4] for b in blocks), html)])[0][1]) == 2
+
+
+def test_deep_markup_is_closed_and_seen():
+    deep = "<div class='outer'>" + "<div>" * 40 + "<p>Deep inside stands a line.</p>" + "</div>" * 40 + "</div><p>After it all.</p>"
+    broken = "<table><tr><td>" + "<div>" * 30 + "<p>Cell text.</p></td></tr></table><p>Outside.</p>"
+    blocks = B.leaf_blocks(f"<body>{deep}</body>")
+    assert [(b[0], len(b[2])) for b in blocks] == [("Deep inside stands a line.", 42), ("After it all.", 1)] and blocks[0][2][1].names == ("outer",)
+    assert [(b[0], len(b[2])) for b in B.leaf_blocks(f"<body>{broken}</body>")][1] == ("Outside.", 1)
+    far = B.feature("name=outer")
+    assert far in B.page_blocks(f"<body>{deep}</body>")[0][2]
+
+
+def test_features_read_the_whole_line():
+    line = " ".join(f"w{c}x" for c in "abcdefghijklmnopqrstuvwxyz" * 2)
+    other = line + " cookies"
+    assert B.feature("w=cookies") in B.text_features(other, 0, 1) and B.feature("w=wzx") in B.text_features(line, 0, 1)

@@ -66,3 +66,12 @@ def test_gradient(net):
 def test_no_labels(spark):
     df = spark.createDataFrame([(1, None, "text")], "k long, lang string, body string")
     assert isinstance(language.fit_network([(df, "k", "lang", "body")]), language.ByteNet)
+
+
+def test_left_out_are_exactly_the_misread_and_residue_pages(spark, data):
+    from webloom.llm import queries, residue
+
+    pages = spark.read.parquet(f"{data}/pages.parquet").where("content is not null").select("page_id", "content").collect()
+    misread = {r.record_id for r in queries.p2_found(spark, data).collect() if r.record_kind == "page"}
+    gone = misread | {r.page_id for r in pages if residue.inspect(r.content)[0]}
+    assert misread and {r.page_id for r in queries.p4_labels(spark, data).collect()} == {r.page_id for r in pages} - gone

@@ -45,3 +45,24 @@ def test_nothing_to_mix(spark):
     assert mixing.mix(df, "id", "source", "tokens", {"zzz": (1.0, 1)}).count() == 0
     assert mixing.mix(df.where("false"), "id", "source", "tokens", {"a": (1.0, 1)}).count() == 0
     assert mixing.plan_mixture({"a": 10}, {"a": (None, 1), "b": (0.5, 2)}) == (0, {})
+
+
+def test_draws_beyond_the_library_bound():
+    rng = np.random.default_rng(5)
+    colors = np.array([1_200_000_000, 800_000_000, 7])
+    draws = np.array([mixing._hypergeometric(colors, 500_000_000, rng) for _ in range(300)])
+    assert (draws.sum(1) == 500_000_000).all() and (draws >= 0).all() and (draws <= colors).all()
+    total, n = 2_000_000_007, 500_000_000
+    share = 1_200_000_000 / total
+    spread = np.sqrt(n * share * (1 - share) * (total - n) / (total - 1))
+    assert abs(draws[:, 0].mean() - n * share) < 4 * spread / np.sqrt(300) and 0.85 < draws[:, 0].std() / spread < 1.15
+    assert 1.0 < draws[:, 2].mean() < 2.5
+
+
+def test_rejection_draws_like_the_library(monkeypatch):
+    rng = np.random.default_rng(6)
+    want = rng.hypergeometric(300, 500, 200, 4000)
+    monkeypatch.setattr(mixing, "DRAWABLE", 10)
+    got = np.array([mixing.draw_one(300, 500, 200, rng) for _ in range(4000)])
+    assert abs(got.mean() - want.mean()) < 0.4 and abs(got.std() / want.std() - 1) < 0.06
+    assert [mixing.draw_one(0, 90, 5, rng), mixing.draw_one(50, 60, 110, rng), mixing.draw_one(50, 60, 0, rng)] == [0, 50, 0]

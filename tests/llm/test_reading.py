@@ -55,3 +55,11 @@ def test_operator(spark, anchors):
     found = sorted((r.k, r.reading_level) for r in reading.reading_levels(df, "k", "body", model).collect())
     assert found == [(1, level), (1, level), (6, level), (7, level)]
     assert reading.reading_levels(df.where("false"), "k", "body", model).count() == 0
+
+
+def test_all_pairs_without_a_cap(anchors):
+    graded = [(level, f"{text} Note {i}.") for i in range(14) for level, text in anchors]
+    assert sum(a[0] > b[0] for a in graded for b in graded) > 250_000
+    one, many = reading.train(anchors), reading.train(graded, rounds=60)
+    for level, text in anchors[::9]:
+        assert abs(many.level(many.score(reading.english_prose(text)[1])) - level) < 0.5 and abs(one.level(one.score(reading.english_prose(text)[1])) - level) < 0.5

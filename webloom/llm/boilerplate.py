@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from webloom.llm.arrow import map_rows
 from webloom.llm.residue import inspect
 
-#: Bound of the training sample, in labelled pages.
-TRAIN_PAGES = 3000
+#: Bounds of the training sample: labelled pages, and bytes of their text and markup.
+TRAIN_PAGES, TRAIN_BYTES = 3000, 1 << 27
 EPOCHS = 8
 WIDTH = 1 << 17
 CONTAINERS = frozenset("div td article main section nav aside footer header form body ul ol table".split())
@@ -91,7 +91,7 @@ def leaf_blocks(markup: str) -> list[tuple[str, str, list[_Node], bool]]:
     for m in TOKEN.finditer(markup):
         if (piece := m.group(4)) is not None:
             text.append(piece)
-            if piece.strip() and any(t == "a" for t, _ in stack[-3:]):
+            if not state[1] and piece.strip() and any(t == "a" for t, _ in stack):
                 state[1] = True
             continue
         tag = m.group(2)
@@ -108,7 +108,7 @@ def leaf_blocks(markup: str) -> list[tuple[str, str, list[_Node], bool]]:
         if not (tag == "a" and not closing):
             flush()
         if closing:
-            for i in range(len(stack) - 1, max(0, len(stack) - 12), -1):
+            for i in range(len(stack) - 1, 0, -1):
                 if stack[i][0] == tag:
                     del stack[i:]
                     break
@@ -159,8 +159,8 @@ def page_blocks(markup: str | None) -> list[tuple[int, list[int], list[int], int
         if own is not None:
             share = 0 if not widest else min(4, 4 * own.prose // widest)
             plain += [f"share={share}", f"share={share},tag={tag}", f"head={own.heading}", f"few={min(own.blocks, 5)}", f"links={min(4, 4 * own.links // max(1, own.blocks))}"]
-            marked += [f"in={c.tag}" for c in chain[-3:]] + [f"name={n}" for c in chain[-3:] for n in c.names if not DIGITS.search(n)]
-            marked += [f"chain={'/'.join(c.tag for c in chain[-3:])},{tag}"]
+            marked += {f"in={c.tag}" for c in chain} | {f"name={n}" for c in chain for n in c.names if not DIGITS.search(n)}
+            marked += [f"chain={'/'.join(c.tag for c in chain)},{tag}"]
         label = -1
         if named is not None:
             label = (1 if own is named else 2) if named in chain else 0
@@ -172,10 +172,10 @@ def text_features(line: str, place: int, count: int) -> list[int]:
     folded = DIGITS.sub("0", fold(line))
     words = WORD.findall(folded)
     end = line.rstrip()[-1:]
-    out = [f"whole={folded[:80]}", f"end={end if not end.isalnum() else 'w'}", f"len={min(7, len(folded) // 40)}", f"n={min(len(words), 12)}"]
+    out = [f"whole={zlib.crc32(folded.encode())}", f"end={end if not end.isalnum() else 'w'}", f"len={min(7, len(folded) // 40)}", f"n={min(len(words), 12)}"]
     out += [f"end={end if not end.isalnum() else 'w'},n={min(len(words), 12) // 2}", f"pos={min(4, 5 * place // max(1, count))}", f"first={place == 0}", f"last={place == count - 1}"]
-    out += [f"w={w}" for w in set(words[:30])] if len(words) < 25 else ["long"]
-    out += [f"b={a}_{b}" for a, b in pairwise(words[:4])] + [f"start={words[0] if words else ''}", f"tail={' '.join(words[-2:])}"]
+    out += [f"w={w}" for w in set(words)]
+    out += [f"b={a}_{b}" for a, b in set(pairwise(words))] + [f"start={words[0] if words else ''}", f"tail={' '.join(words[-2:])}"]
     for mark in "›»|·©:–":
         n = line.count(mark)
         if n:
@@ -384,12 +384,15 @@ def align(lines: list[str], keys: list[int], sizes: list[int]) -> list[int]:
 
 
 def fit_field(pages: DataFrame, fetched: DataFrame, page_key: str, key: str, text: str, markup: str, bound: int = TRAIN_PAGES) -> ChainField:
-    """Trains on at most ``bound`` pages, those of smallest hash among pages with text and markup."""
+    """Trains on at most ``bound`` pages of together TRAIN_BYTES, those of smallest hash among pages with text and markup."""
     ids = pages.where(F.col(text).isNotNull()).select(page_key, key).orderBy(F.xxhash64(page_key), page_key).limit(bound)
     few = F.broadcast(ids.select(F.col(page_key).alias("_p"), F.col(key).alias("_k")))
     picked = pages.join(few, F.col(page_key) == F.col("_p"), "left_semi").select(F.col(key).alias("_f"), F.col(text).alias("_t"), F.col(page_key).alias("_o"))
     markups = fetched.join(few, F.col(key) == F.col("_k"), "left_semi").select(key, markup).where(F.col(markup).isNotNull())
-    rows = picked.join(markups, F.col("_f") == F.col(key)).select("_o", "_t", markup).toPandas().sort_values("_o")
+    both = picked.join(markups, F.col("_f") == F.col(key)).select("_o", "_t", markup)
+    sizes = both.select("_o", (F.octet_length("_t") + F.octet_length(markup)).alias("n"), F.xxhash64("_o").alias("h")).toPandas().sort_values(["h", "_o"])
+    small = sizes["_o"][sizes["n"].cumsum() <= TRAIN_BYTES].tolist()
+    rows = both.where(F.col("_o").isin(small)).toPandas().sort_values("_o")
     rows = [(a, b) for a, b in zip(rows["_t"], rows[markup]) if inspect(a)[0] is None]
     return ChainField().fit(training_pages(rows))
 

@@ -175,8 +175,14 @@ def fit_network(labelled: list[tuple[DataFrame, str, str, str]], rows: int = TRA
         if not counts:
             continue
         share = F.coalesce(*[F.when(F.col("code") == c, F.lit(int(1_000_000 * min(1.0, rows / n)) + 1)) for c, n in counts.items()])
-        taken = rowset.where(F.pmod(F.xxhash64("k"), F.lit(1_000_000)) < share).limit(2 * rows * len(LANGUAGES)).collect()
-        found += [(r["code"], r["t"]) for r in sorted(taken, key=lambda r: r["k"])]
+        taken = rowset.where(F.pmod(F.xxhash64("k"), F.lit(1_000_000)) < share).orderBy(F.xxhash64("k"), "k").limit(2 * rows * len(LANGUAGES)).collect()
+        held: Counter[str] = Counter()
+        kept = []
+        for r in taken:
+            held[r["code"]] += 1
+            if held[r["code"]] <= 2 * rows:
+                kept.append(r)
+        found += [(r["code"], r["t"]) for r in sorted(kept, key=lambda r: r["k"])]
     return train(found)
 
 

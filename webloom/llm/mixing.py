@@ -10,6 +10,7 @@ of the source, and rows are shuffled inside their shard.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,8 +24,10 @@ from webloom.session import materialize
 BLOCK_TOKENS, SHARD_TOKENS = 32_768, 2_097_152
 #: Rounds in which documents that fit fill what a source still wants; each leaves less than the smallest that was passed over.
 FILL_ROUNDS = 3
-#: The splitting table has a row for each shard and a column for each source.
-MAX_SHARDS = 65_536
+#: More shards than these make shards grow: the splitting table on the driver has a row for each and a column for each source.
+MOST_SHARDS = 65_536
+#: The library's bound of one draw.
+DRAWABLE = 1_000_000_000
 
 
 def split_quotas(quotas: np.ndarray, shards: int, seed: int) -> np.ndarray:
@@ -45,16 +48,42 @@ def split_quotas(quotas: np.ndarray, shards: int, seed: int) -> np.ndarray:
 
 
 def _hypergeometric(colors: np.ndarray, draw: int, rng: np.random.Generator) -> np.ndarray:
-    """A multivariate hypergeometric draw; above the library's bound of 1e9 the parts are scaled, rounded and repaired."""
-    if colors.sum() < 1_000_000_000:
-        return rng.multivariate_hypergeometric(colors, draw, method="marginals")
-    part = np.minimum(colors, np.floor(colors * (draw / colors.sum())).astype(np.int64))
-    while (rest := draw - int(part.sum())) > 0:
-        room = np.flatnonzero(part < colors)
-        part[room[:rest]] += 1
+    """A multivariate hypergeometric draw from an urn of any size: color after color, each given what is left."""
+    part = np.zeros(len(colors), np.int64)
+    rest, left = int(colors.sum()), draw
+    for i, n in enumerate(map(int, colors)):
+        rest -= n
+        part[i] = draw_one(n, rest, left, rng)
+        left -= int(part[i])
     return part
 
 
+def draw_one(good: int, bad: int, draw: int, rng: np.random.Generator) -> int:
+    """How many of ``draw`` blocks are good: the library's draw up to its bound, beyond it rejection by the ratio of uniforms (Stadlober)."""
+    total = good + bad
+    if not good or not draw:
+        return 0
+    if draw >= total:
+        return good
+    if total < DRAWABLE:
+        return int(rng.hypergeometric(good, bad, draw))
+    if 2 * draw > total:
+        return good - draw_one(good, bad, total - draw, rng)
+    if good > bad:
+        return draw - draw_one(bad, good, draw, rng)
+    share = good / total
+    mean = draw * share
+    spread = math.sqrt(mean * (1 - share) * (total - draw) / (total - 1) + 0.5)
+    width = 2 * math.sqrt(2 / math.e) * spread + 3 - 2 * math.sqrt(3 / math.e)
+    log = lambda k: math.lgamma(k + 1) + math.lgamma(good - k + 1) + math.lgamma(draw - k + 1) + math.lgamma(bad - draw + k + 1)
+    peak = log((draw + 1) * (good + 1) // (total + 2))
+    while True:
+        u, v = 1 - rng.random(), rng.random()
+        k = math.floor(mean + 0.5 + width * (v - 0.5) / u)
+        if max(0, draw - bad) <= k <= min(good, draw) and 2 * math.log(u) <= peak - log(k):
+            return k
+
+
 def plan_mixture(tokens: dict[str, int], targets: dict[str, tuple[float, int]]) -> tuple[int, dict[str, int]]:
     """(tokens of the mixture, tokens wanted of each source); shares are taken relative to their sum, sources without tokens get none."""
     shares = {s: share for s, (share, repeats) in targets.items() if share and share > 0 and repeats and repeats > 0 and tokens.get(s, 0) > 0}
@@ -81,7 +110,7 @@ def _lookup(sources: list[str], values: dict[str, int]):
     return F.create_map(*[x for s in sources for x in (F.lit(s), F.lit(int(values[s])))])[F.col("source")]
 
 
-def mix(docs: DataFrame, key: str, source: str, size: str, targets: dict[str, tuple[float, int]], block_tokens: int = BLOCK_TOKENS, shard_tokens: int = SHARD_TOKENS, seed: int = 29) -> DataFrame:
+def mix(docs: DataFrame, key: str, source: str, size: str, targets: dict[str, tuple[float, int]], block_tokens: int = BLOCK_TOKENS, shard_tokens: int = SHARD_TOKENS, most_shards: int = MOST_SHARDS, seed: int = 29) -> DataFrame:
     """(shard, place, key, source, pass, tokens): the mixture, a row for each use of a document.
 
     ``targets`` maps a source to its share and the most uses of one document.  Documents of other or
@@ -117,7 +146,7 @@ def mix(docs: DataFrame, key: str, source: str, size: str, targets: dict[str, tu
         kept = materialize(kept.unionByName(more.select(*kept.columns)), "kept")
     blocks = {s: full[s] * -(-have[s] // block_tokens) + -(-rest[s] // block_tokens) for s in used}
     each = {s: -(-have[s] // block_tokens) for s in used}
-    shards = int(max(1, min(MAX_SHARDS, total // shard_tokens)))
+    shards = int(max(1, min(most_shards, total // shard_tokens)))
     table = split_quotas(np.array([blocks[s] for s in used]), shards, seed)
     ends = np.cumsum(table, 0)
     shared = spark.sparkContext.broadcast((used, each, blocks, ends))

@@ -162,10 +162,12 @@ def pack(items: DataFrame, key: str, size: str, containers: dict[str, int], buck
         for batch in batches:
             kinds_, bucket, rank = batch.column(1).to_pylist(), batch.column(5).to_numpy(), batch.column(6).to_numpy() - 1
             out = np.zeros(len(rank), np.int64)
-            cell = np.array([hash((k, b)) for k, b in zip(kinds_, bucket.tolist())], np.int64)
+            names = list(shared.value)
+            number = {k: i for i, k in enumerate(names)}
+            cell = np.array([number[k] for k in kinds_], np.int64) << 32 | bucket
             for value in np.unique(cell):
                 mine = np.flatnonzero(cell == value)
-                first, start = shared.value[kinds_[mine[0]]][1][int(bucket[mine[0]])]
+                first, start = shared.value[names[value >> 32]][1][int(value & 0xFFFFFFFF)]
                 run = np.searchsorted(first, rank[mine], "right") - 1
                 out[mine] = start[run] + rank[mine] - first[run]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.int64())], names=[*batch.schema.names, "container"])

@@ -13,6 +13,7 @@ from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from webloom.llm.arrow import map_rows
 from webloom.llm.residue import is_code
@@ -154,22 +155,22 @@ def train(graded: list[tuple[int, str]], rounds: int = 400, ridge: float = 1e-3)
     y = np.array([level for level, _ in texts], float)
     mean, scale = x.mean(0), x.std(0) + 1e-6
     x = (x - mean) / scale
-    i, j = np.nonzero(y[:, None] > y[None, :])
-    if len(i) > 200_000:
-        pick = np.random.default_rng(1).choice(len(i), 200_000, replace=False)
-        i, j = i[pick], j[pick]
-    diff = x[i] - x[j]
+    pairs = max(1, int((y[:, None] > y[None, :]).sum()))
     w = np.zeros(x.shape[1])
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(np.clip(diff @ w, -30, 30)))
-        w += 0.5 * ((diff * p[:, None]).mean(0) - ridge * w)
+        score, pull = x @ w, np.zeros(len(x))
+        for at in range(0, len(x), 512):  # all pairs, in blocks: the difference of two texts enters by their scores alone
+            p = (y[at : at + 512, None] > y[None, :]) / (1 + np.exp(np.clip(score[at : at + 512, None] - score[None, :], -30, 30)))
+            pull[at : at + 512] += p.sum(1)
+            pull -= p.sum(0)
+        w += 0.5 * (x.T @ pull / pairs - ridge * w)
     knots, levels = isotonic(x @ w, y)
     return ReadingModel(w, mean, scale, knots, levels, grades)
 
 
 def fit_reading(graded: DataFrame, level: str, text: str, bound: int = MAX_GRADED) -> ReadingModel:
-    """Trains on at most ``bound`` graded texts; null levels and texts are passed over."""
-    rows = graded.select(level, text).where(f"{level} is not null and {text} is not null").limit(bound).collect()
+    """Trains on at most ``bound`` graded texts, those of smallest hash; null levels and texts are passed over."""
+    rows = graded.select(level, text).where(f"{level} is not null and {text} is not null").orderBy(F.xxhash64(text), text, level).limit(bound).collect()
     return train(sorted((r[0], r[1]) for r in rows))
 
 

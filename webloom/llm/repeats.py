@@ -21,6 +21,8 @@ SHARE = 0.1
 SALTS = 64
 #: The next line of a sequence stands at most so many frequent lines further on.
 MAX_GAP = 3
+#: So many sequences of one length (8 bytes each) are broadcast to the documents; more are joined by source.
+FEW = 500_000
 
 
 def fold_line(line: Column) -> Column:
@@ -127,10 +129,13 @@ def mine(sequences: DataFrame, min_documents: int, share: float, max_gap: int) -
         judged = counted.groupBy("source", "id").agg(F.first("parent").alias("parent"), F.first("w").alias("w"), most("document").alias("support"), most("place").alias("places"), most("skipped").alias("skipped"))
         kept = judged.join(needed, "source").where((F.col("support") >= F.col("needed")) & (F.col("skipped") < F.col("places")))
         kept = materialize(kept.select("source", "id", "parent", "w", "support"), f"level{len(levels) + 1}")
-        if kept.isEmpty():
+        size = kept.count()
+        if not size:
             return levels
         levels.append(kept)
         known = kept.groupBy("source").agg(F.collect_list("id").alias("known"))
+        # the documents are never the side that is sent to all tasks, the sequences only while they are few
+        known = F.broadcast(known) if size <= FEW else known.hint("merge")
         going = longer.join(known, "source").select(
             "source", "items", F.array_distinct(F.transform(F.filter("longer", lambda x: F.array_contains("known", x["id"])), lambda x: F.struct(x["at"].alias("at"), x["id"].alias("id")))).alias("ends")
         )

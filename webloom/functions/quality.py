@@ -43,8 +43,20 @@ def tag_count(html: Column, tag: str) -> Column:
     return F.regexp_count(html, F.lit(rf"(?i)<{tag}[\s>]"))
 
 
-def features(text: Column, html: Column, published: Column) -> dict[str, Column]:
-    """What the scores are made of."""
+def markup_features(html: Column) -> dict[str, Column]:
+    """What the scores take from the html: a dozen numbers, so that the html itself need not travel."""
+    return {
+        "body_units": units(body_markup(html)),
+        "page_units": units(html),
+        **{f"{tag}_count": tag_count(html, tag) for tag in ("h1", "h2", "h3", "p", "li")},
+        "has_meta_date": F.contains(html, F.lit(PUBLISHED)) | F.contains(html, F.lit("datePublished")),
+        "has_date": html.rlike(DATE),
+        "has_price": html.rlike(PRICE),
+    }
+
+
+def text_features(text: Column) -> dict[str, Column]:
+    """What the scores take from the text."""
     hits = F.lit(0)
     for phrase in BOILERPLATE:
         hits = hits + F.when(F.contains(F.lower(text), F.lit(phrase)), 1).otherwise(0)
@@ -53,13 +65,7 @@ def features(text: Column, html: Column, published: Column) -> dict[str, Column]
         "sentence_count": sentence_count(text),
         "letters": units(without_space(text)),
         "text_units": units(text),
-        "body_units": units(body_markup(html)),
-        "page_units": units(html),
-        **{f"{tag}_count": tag_count(html, tag) for tag in ("h1", "h2", "h3", "p", "li")},
         "boilerplate_hits": hits,
-        "has_meta_date": F.contains(html, F.lit(PUBLISHED)) | F.contains(html, F.lit("datePublished")),
-        "has_any_date": published.isNotNull() | html.rlike(DATE),
-        "has_price": html.rlike(PRICE),
         "says_error": text.rlike(ERROR),
     }
 

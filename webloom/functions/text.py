@@ -13,7 +13,8 @@ SPACES = "\t\n\x0b\f\r \xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) +
 
 def units(text: Column) -> Column:
     """Length in UTF-16 units."""
-    return F.floor(F.octet_length(F.encode(text, "UTF-16BE")) / 2).cast("int")
+    plain = F.octet_length(text) == F.length(text)
+    return F.when(plain, F.length(text)).otherwise(F.floor(F.octet_length(F.encode(text, "UTF-16BE")) / 2)).cast("int")
 
 
 def without_space(text: Column) -> Column:

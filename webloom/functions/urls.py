@@ -51,7 +51,7 @@ def user_info(url: Column) -> Column:
 def clean_path(raw: Column) -> Column:
     """A path with dot segments resolved, at least ``/``."""
     raw = F.regexp_replace(raw, r"\\", "/")
-    parts = F.split(F.substring(raw, 2, 1_000_000), "/", -1)
+    parts = F.split(F.substring(raw, F.lit(2), F.length(raw)), "/", -1)
     dots = lambda s: F.lower(F.regexp_replace(s, "(?i)%2e", "."))
     folded = F.aggregate(
         parts,
@@ -106,6 +106,16 @@ def normalize(url: Column) -> Column:
     return F.when(is_url(url), F.regexp_replace(whole, "/$", ""))
 
 
+def with_normal(rows: DataFrame, url: str, name: str = "normal") -> DataFrame:
+    """``rows`` plus the normal form; as ``normalize``, but each pattern runs once for a row."""
+    parts = with_parts(rows, url, "_n")
+    c = lambda k: F.col(f"_n_{k}")
+    query = clean_query(F.regexp_replace(c("search"), r"^\?", ""))
+    whole = F.regexp_replace(F.concat(join_parts("_n", "path"), F.lit("?"), query), r"\?$", "")
+    usable = (c("scheme") != "") & c("host").rlike(r"^[^\s<>^|%\[\]]+$|^\[[0-9a-f:.]+\]$")
+    return drop_parts(parts.withColumn(name, F.when(usable, F.regexp_replace(whole, "/$", ""))), "_n")
+
+
 def fingerprint(url: Column) -> Column:
     return F.sha2(url, 256)
 

@@ -140,4 +140,4 @@ def rag_document(chunk: DataFrame) -> DataFrame:
         F.col("url").alias("source"), "domain", "title", F.col("chunk_index").alias("chunkIndex"), F.col("total_chunks").alias("totalChunks"),
         F.col("section_heading").alias("section"), F.col("word_count").alias("wordCount"), F.col("token_estimate").alias("tokenEstimate"),
     )
-    return chunk.select("chunk_id", F.to_json(F.struct(F.col("text").alias("pageContent"), meta.alias("metadata"))).alias("document"))
+    return chunk.select("chunk_id", F.to_json(F.struct(F.col("text").alias("pageContent"), meta.alias("metadata")), {"ignoreNullFields": "false"}).alias("document"))

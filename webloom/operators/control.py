@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webloom.operators.fold import fold
+from webloom.operators.order import running, slots
 
 #: Browser signatures and languages that requests take in turn.
 USER_AGENTS = [
@@ -32,11 +33,7 @@ def rate_slots(events: DataFrame, key: str, at: str, tie: str, gap_ms: int) -> D
 
     Closed form of the sequential rule: i * gap + max over earlier ones of (arrival - their i * gap).
     """
-    gap = max(gap_ms, 1000)
-    order = Window.partitionBy(key).orderBy(at, tie)
-    i = (F.row_number().over(order) - 1).cast("long")
-    lead = F.max(F.col(at) - F.col("_i") * gap).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return events.withColumn("_i", i).withColumn("slot", lead + F.col("_i") * gap).drop("_i")
+    return slots(events, key, [F.col(at).asc(), F.col(tie).asc()], at, max(gap_ms, 1000))
 
 
 def retry_delay_ms(attempt: Column, base: int = 2000) -> Column:
@@ -46,26 +43,33 @@ def retry_delay_ms(attempt: Column, base: int = 2000) -> Column:
 
 def retry_schedule(failures: DataFrame, key: str, at: str, tie: str, attempts: int = 3) -> DataFrame:
     """``failures`` plus ``attempt``, ``delay_ms`` and ``exhausted``: null delay once no attempt is left."""
-    order = Window.partitionBy(key).orderBy(at, tie)
-    rows = failures.withColumn("attempt", F.row_number().over(order))
+    rows = running(failures, [key], [F.col(at).asc(), F.col(tie).asc()]).withColumn("attempt", F.col("position").cast("int")).drop("position")
     return rows.withColumn("delay_ms", F.when(F.col("attempt") < attempts, retry_delay_ms(F.col("attempt")))).withColumn("exhausted", F.col("attempt") >= attempts)
 
 
-def replay_locks(requests: DataFrame, key: str, at: str, tie: str, ttl_s: int = LOCK_SECONDS) -> DataFrame:
-    """(key, at, tie, granted): a lock is granted when the last granted one has expired; times in milliseconds."""
+def replay_locks(requests: DataFrame, key: str, at: str, tie: str, ttl_s: int = LOCK_SECONDS, release: str | None = None) -> DataFrame:
+    """(key, at, tie, granted): a lock is granted when the last granted one has expired or been released; times in milliseconds.
 
-    def step(held, t, _):
+    ``release`` names a boolean column: its rows free the lock whoever holds it, and are granted
+    nothing.  The rule is sequential in the requests of a key, so a key is one task's stream.
+    """
+
+    def step(held, t, _, freed=False):
+        if freed:
+            return None, (False,)
         free = held is None or t >= held + ttl_s * 1000
         return (t if free else held), (free,)
 
-    return fold(requests, key, [at, tie], [at, tie], "granted boolean", lambda: None, step)
+    found = fold(requests, key, [at, tie], [at, tie, *([release] if release else [])], "granted boolean", lambda: None, step)
+    return found.drop(release) if release else found
 
 
 def proxy_health(events: DataFrame, key: str, at: str, tie: str, failed: str) -> DataFrame:
     """(key, at, tie, failed, failures, healthy) after each event, times in milliseconds.
 
     Unhealthy from the third failure in a row; a success resets; an unhealthy proxy recovers when
-    more than five minutes have passed since its last failure.
+    more than five minutes have passed since its last failure.  Proxies are taken apart, so the reset
+    of a pool that is down as a whole does not show here: ``proxy_choices`` replays the pool.
     """
 
     def step(state, t, _, bad):
@@ -82,12 +86,49 @@ def proxy_health(events: DataFrame, key: str, at: str, tie: str, failed: str) ->
     return fold(events, key, [at, tie], [at, tie, failed], "failures int, healthy boolean", lambda: (0, True, None), step)
 
 
+def proxy_choices(events: DataFrame, pool: str, at: str, tie: str, failed: str, proxies: list[str]) -> DataFrame:
+    """(pool, at, tie, failed, proxy, healthy): which proxy each request takes, and how many are healthy after it; times in milliseconds.
+
+    Before a choice, proxies whose last failure is more than five minutes ago recover.  The healthy
+    ones are taken in turn, the turn counted modulo their number; when none is left, all are reset and
+    the first is taken.  ``failed`` (null: no) tells how the request ended.  A pool is one stream.
+    """
+
+    def start():
+        return {p: [True, 0, None] for p in proxies}, 0
+
+    def step(state, t, _, bad):
+        pool_, turn = state
+        for entry in pool_.values():
+            if not entry[0] and t - entry[2] > RECOVERY_MS:
+                entry[:2] = True, 0
+        healthy = [p for p, entry in pool_.items() if entry[0]]
+        if healthy:
+            chosen = healthy[turn % len(healthy)]
+            turn = (turn + 1) % len(healthy)
+        else:
+            for entry in pool_.values():
+                entry[:2] = True, 0
+            chosen = proxies[0] if proxies else None
+        if chosen is not None:
+            entry = pool_[chosen]
+            if bad:
+                entry[1:] = entry[1] + 1, t
+                entry[0] = entry[0] and entry[1] < MAX_FAILURES
+            else:
+                entry[:2] = True, 0
+        return (pool_, turn), (chosen, sum(entry[0] for entry in pool_.values()))
+
+    return fold(events, pool, [at, tie], [at, tie, failed], "proxy string, healthy int", start, step)
+
+
 def rotate(number: Column, values: list[str]) -> Column:
     """The value whose turn it is for a running number from 0."""
     return F.element_at(F.array(*map(F.lit, values)), (F.pmod(number, F.lit(len(values))) + 1).cast("int"))
 
 
-JOB_STATES = ["discovered", "queued", "fetching", "parsing", "completed", "failed", "retry"]
+#: The states of a job.
+JOB_STATES = ["discovered", "queued", "running", "completed", "failed", "retrying", "skipped"]
 
 
 def check_jobs(jobs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -106,8 +147,16 @@ def job_id(session: Column, url_hash: Column) -> Column:
     return F.sha2(F.concat_ws("|", session, url_hash), 256)
 
 
-def latency_percentiles(rows: DataFrame, group: str, value: str) -> DataFrame:
-    return rows.groupBy(group).agg(F.percentile(value, 0.95).alias("p95"), F.percentile(value, 0.99).alias("p99"), F.count(value).alias("n"))
+def dispatch(jobs: DataFrame, tie: str = "job_id") -> DataFrame:
+    """Jobs in the order a queue hands them out: ``place`` from 1, the smallest ``priority`` first (null as 0), then by ``tie``; state ``queued``."""
+    ready = check_jobs(jobs)[0].withColumn("priority", F.coalesce("priority", F.lit(0)))
+    return running(ready, [], [F.col("priority").asc(), F.col(tie).asc()]).withColumnRenamed("position", "place").withColumn("state", F.lit("queued"))
+
+
+def latency_percentiles(rows: DataFrame, group: str, value: str, exact: bool = False, accuracy: int = 10_000) -> DataFrame:
+    """(group, p95, p99, n): in constant memory by sketches, off by at most 1 / ``accuracy`` of the ranks; ``exact`` holds every distinct value of a group."""
+    at = (lambda p: F.percentile(value, p)) if exact else (lambda p: F.percentile_approx(value, p, accuracy).cast("double"))
+    return rows.groupBy(group).agg(at(0.95).alias("p95"), at(0.99).alias("p99"), F.count(value).alias("n"))
 
 
 def fresh(rows: DataFrame, fetched: str, now: Column, hours: int = 1) -> DataFrame:

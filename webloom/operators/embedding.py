@@ -49,6 +49,15 @@ def embed_chunks(chunks: DataFrame, embedder: Embedder, model: str, key: str = "
     return chunks.select(key, text).mapInPandas(run, f"{key} {dict(chunks.dtypes)[key]}, embedding_vector array<float>, embedding_model string")
 
 
+def embed_queries(questions: list[str], embedder: Callable[..., list[list[float]]], kind: str = "search_query") -> list[list[float]]:
+    """Vectors of search questions: an embedder that tells questions from documents takes ``kind`` as its second argument; blank questions have none."""
+    import inspect
+
+    told = len(inspect.signature(embedder).parameters) > 1
+    asked = [q for q in questions if q and q.strip()]
+    return (embedder(asked, kind) if told else embedder(asked)) if asked else []
+
+
 def split_usable(vectors: DataFrame, vector: str, dimensions: int) -> tuple[DataFrame, DataFrame]:
     """(usable, rejected): vectors of the wrong length or with entries that are no finite numbers are kept apart, not read forever."""
     good = is_usable(F.col(vector), dimensions)

@@ -15,6 +15,8 @@ from webloom.operators.links import unescape
 
 #: Elements whose text is not page text.
 SILENT = ("script", "style", "noscript", "iframe", "svg")
+ATTRIBUTES = r"(?:[^\"'>]|\"[^\"]*\"|'[^']*')*?"
+META_DESCRIPTION = rf"(?is)<meta\s(?={ATTRIBUTES}(?<=[\s\"'])name\s*=\s*(?:\"description\"|'description'|description(?=[\s/>]))){ATTRIBUTES}>"
 SPA_ROOT = r"(?i)<div[^>]*id=[\"'](?:root|app|__next|__nuxt)[\"'][^>]*>\s*</div>"
 
 
@@ -40,7 +42,10 @@ def page_heading(html: Column) -> Column:
 
 
 def page_description(html: Column) -> Column:
-    return trim_space(unescape(F.regexp_extract(html, r"(?is)<meta\s+name=\"description\"\s+content=\"([^\"]*)\"", 1)))
+    """The first description, whatever the order, quotes and other attributes of its element."""
+    tag = F.regexp_extract(html, META_DESCRIPTION, 0)
+    written = F.regexp_extract(tag, r"(?is)\scontent\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", 1)
+    return trim_space(unescape(F.regexp_replace(written, r"^[\"']|[\"']$", "")))
 
 
 def body_text(html: Column, limit: int = 5000) -> Column:
@@ -62,7 +67,7 @@ class _Document(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.metas: list[dict[str, str]] = []
-        self.times: list[tuple[dict[str, str], list[str]]] = []
+        self.times: list[tuple[dict, list[str]]] = []
         self.lang: str | None = None
         self.open: list[tuple[str, dict[str, str]]] = []
         self.blocks: list[list] = []  # tag, depth key, text parts, in link
@@ -77,7 +82,7 @@ class _Document(HTMLParser):
         if tag in ("br", "img", "hr", "input", "link"):
             return
         if tag == "time" or "itemprop" in a or a.get("rel") == "author":
-            self.times.append(({"_tag": tag, **a}, []))
+            self.times.append(({"_tag": tag, "_element": a, **a}, []))
         self.open.append((tag, a))
         if tag in self.BLOCKS:
             holder = next((t for t, _ in reversed(self.open[:-1]) if t in ("div", "td", "article", "section", "main", "nav", "aside", "footer", "header", "body")), "body")
@@ -92,8 +97,8 @@ class _Document(HTMLParser):
     def handle_data(self, data):
         if any(t in SILENT or t == "head" for t, _ in self.open):
             return
-        for attrs, parts in self.times[-1:]:
-            if any(a is not None and a.get("itemprop") == attrs.get("itemprop") for _, a in self.open):
+        for attrs, parts in self.times:
+            if any(a is attrs["_element"] for _, a in self.open):
                 parts.append(data)
         if self.blocks:
             self.blocks[-1][2].append(data)

@@ -14,7 +14,7 @@ FINAL_CODES = [401, 403, 407, 429, 503, 999]
 
 def normalized(urls: DataFrame, url: str = "url") -> DataFrame:
     """``urls`` plus ``normal`` and ``hash``; what is no URL has nulls."""
-    return urls.withColumn("normal", U.normalize(F.col(url))).withColumn("hash", U.fingerprint(F.col("normal")))
+    return U.with_normal(urls, url).withColumn("hash", U.fingerprint(F.col("normal")))
 
 
 def first_of_each(urls: DataFrame, key: str, order: list[Column], *columns: str) -> DataFrame:
@@ -25,9 +25,12 @@ def first_of_each(urls: DataFrame, key: str, order: list[Column], *columns: str)
     return kept.select(key, "_r.*", "copies")
 
 
-def unseen(candidates: DataFrame, known: DataFrame, key: str = "hash") -> DataFrame:
-    """Insert-or-ignore: candidates that are not known, each once."""
-    return candidates.join(known.select(key), key, "left_anti").dropDuplicates([key])
+def unseen(candidates: DataFrame, known: DataFrame, *keys: str) -> DataFrame:
+    """Insert-or-ignore: candidates of which no unique key (``hash`` by default) is known, each once; a null key clashes with nothing."""
+    out = candidates
+    for key in keys or ("hash",):
+        out = out.join(known.select(F.col(key)), key, "left_anti").dropDuplicates([key])
+    return out.select(*candidates.columns)
 
 
 def upsert(known: DataFrame, batch: DataFrame, key: str = "hash") -> DataFrame:
@@ -47,11 +50,14 @@ def upsert(known: DataFrame, batch: DataFrame, key: str = "hash") -> DataFrame:
 
 
 def merge_status(known: DataFrame, events: DataFrame, key: str = "url_id") -> DataFrame:
-    """The latest status event of each row wins; events of unknown rows change nothing.  Only crawls and robots verdicts set the time."""
-    last = events.groupBy(key).agg(F.max_by(F.struct("new_status", "at"), F.struct("at", "new_status")).alias("e"))
+    """The latest status event of each row wins; events of unknown rows change nothing.
+
+    An event has (key, new_status, at, timed).  The latest timed one gives the time: a parsed page and
+    a robots verdict are timed, a page without html and a failure are not.
+    """
+    last = events.groupBy(key).agg(F.max_by("new_status", F.struct("at", "new_status")).alias("_s"), F.max(F.when(F.col("timed"), F.col("at"))).alias("_at"))
     joined = known.join(last, key, "left")
-    timed = F.col("e.new_status").isin("crawled", "disallowed")
-    return joined.withColumn("status", F.coalesce("e.new_status", "status")).withColumn("last_crawled_at", F.when(timed, F.col("e.at")).otherwise(F.col("last_crawled_at"))).drop("e")
+    return joined.withColumn("status", F.coalesce("_s", "status")).withColumn("last_crawled_at", F.coalesce("_at", "last_crawled_at")).drop("_s", "_at")
 
 
 def fetch_outcome(code: Column, network_error: Column, html: Column) -> Column:
@@ -86,13 +92,21 @@ def crawl_depths(edges: DataFrame, seeds: DataFrame, max_depth: int, source: str
     return seen
 
 
-def sitemap_seeds(found: DataFrame, domain: str = "domain", location: str = "location", limit: int = 5_000) -> DataFrame:
-    """(domain, normal, hash, depth 1): same-host pages of a domain's sitemaps, each once, at most ``limit`` for each domain.
+def sitemap_roots(jobs: DataFrame, summary: DataFrame, domain: str = "domain", most: int = 3) -> DataFrame:
+    """(domain, url): the first ``most`` sitemaps of each domain that has a job of depth 0; deeper jobs seed nothing."""
+    starts = jobs.where("depth = 0").select(domain).distinct()
+    return summary.join(starts, domain, "left_semi").select(domain, F.explode(F.slice("sitemaps", 1, most)).alias("url"))
+
+
+def sitemap_seeds(found: DataFrame, domain: str = "domain", location: str = "location", limit: int = 5_000, known: DataFrame | None = None) -> DataFrame:
+    """(domain, normal, hash, depth 1): same-host pages of a domain's sitemaps, each once and none that is ``known`` by hash, at most ``limit`` for each domain.
 
     The limit is the operator's contract (the first by URL), kept by a limited window that works before the shuffle.
     """
     rows = normalized(found.select(domain, location), location).where((U.hostname(F.col("normal")) == F.col(domain)) & F.col("hash").isNotNull())
     rows = rows.select(domain, "normal", "hash").distinct()
+    if known is not None:
+        rows = rows.join(known.select("hash"), "hash", "left_anti")
     order = Window.partitionBy(domain).orderBy("normal")
     return rows.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= limit).drop("_n").withColumn("depth", F.lit(1))
 

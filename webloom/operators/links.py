@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,7 +36,12 @@ def hrefs(html: Column) -> Column:
 
 
 def extract_links(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
-    """(key, position, link): resolved, distinct in each page, first position kept; null html has none.
+    """(key, position, link): resolved, distinct in each page, first position kept; null html has none."""
+    return page_links(pages, key, url, html).select(key, "position", "link")
+
+
+def page_links(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
+    """(key, position, link, host): as ``extract_links``, with the host of the page.  No shuffle: the links of a page lie next to each other.
 
     The page's URL is taken apart once for a page, before its links multiply.  A fragment that starts
     ``#/`` is a route: it is cut at its question mark and the query goes.
@@ -41,12 +49,26 @@ def extract_links(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
     written = pages.where(F.col(html).isNotNull() & U.is_url(F.col(url))).select(key, url, hrefs(F.col(html)).alias("_hrefs")).where(F.size("_hrefs") > 0)
     based = U.with_parts(written, url, "_b").drop(url)
     each = based.select(key, F.posexplode("_hrefs").alias("position", "_href"), *[f"_b_{k}" for k in U.PARTS])
-    whole = each.select(key, "position", U.resolve(F.col("_href"), "_b").alias("_whole"))
+    whole = each.select(key, "position", F.col("_b_host").alias("host"), U.resolve(F.col("_href"), "_b").alias("_whole"))
     parts = U.with_parts(whole, "_whole", "_l").where((F.col("_l_scheme") != "") & F.col("_l_host").rlike(r"^[^\s<>^|%\[\]]+$|^\[[0-9a-f:.]+\]$"))
     route = F.startswith("_l_hash", F.lit("#/"))
     found = parts.withColumns({"_l_search": F.when(route, F.lit("")).otherwise(F.col("_l_search")), "_l_hash": F.when(route, F.substring_index("_l_hash", "?", 1)).otherwise(F.col("_l_hash"))})
-    found = found.select(key, "position", U.join_parts("_l", "path", "search", "hash").alias("link"))
-    return found.groupBy(key, "link").agg(F.min("position").alias("position")).select(key, "position", "link")
+    found = found.select(key, "position", U.join_parts("_l", "path", "search", "hash").alias("link"), "host")
+
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each link of a page once; a page begins where the position does not rise."""
+        page, last, seen = object(), -1, set()
+        for batch in batches:
+            keep = []
+            for k, position, link in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if k != page or position <= last:
+                    page, seen = k, set()
+                last = position
+                keep.append(link not in seen)
+                seen.add(link)
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return found.mapInArrow(once, found.schema)
 
 
 def filter_links(rows: DataFrame, link: str, domain: str) -> DataFrame:

@@ -67,6 +67,19 @@ def is_allowed(urls: DataFrame, rules: DataFrame, url: str = "url", domain: str
     return joined.withColumn("allowed", F.coalesce(verdict, F.lit(True))).drop("_at", "_host", "_allow", "_deny")
 
 
+def cache_rows(files: DataFrame, fetched_at: Column, domain: str = "domain", body: str = "body", hours: int = 1) -> DataFrame:
+    """Rows of the robots cache: the summary of each domain's rules, good for ``hours``."""
+    found = robots_summary(files, domain, body)
+    rows = found.select(domain, F.col("sitemaps").alias("sitemap_urls"), F.col("crawl_delay").cast("float").alias("crawl_delay_seconds"), F.col("disallow_count").cast("int").alias("disallow_count"), fetched_at.alias("fetched_at"))
+    return rows.withColumn("expires_at", F.col("fetched_at") + F.expr(f"INTERVAL {hours} HOURS"))
+
+
+def due_domains(domains: DataFrame, cache: DataFrame, now: Column, domain: str = "domain") -> DataFrame:
+    """Domains whose rules must be fetched: not in the cache, or past their time there."""
+    good = cache.where(F.col("expires_at") > now).select(domain)
+    return domains.where(F.col(domain).isNotNull()).select(domain).distinct().join(good, domain, "left_anti")
+
+
 LOCATION = r"(?i)<loc>\s*(https?://[^<]+?)\s*</loc>"
 
 

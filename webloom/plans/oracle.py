@@ -42,6 +42,7 @@ def query(url: str) -> str:
     return f"CASE WHEN {part(url, 4)} = '?' THEN '' ELSE {part(url, 4)} END"
 
 
+#: Query names that never tell pages apart.
 BLOCKED = "('utm_source', 'utm_medium', 'utm_campaign', 'fbclid', 'gclid', 'ref', 'source', 'session')"
 
 
@@ -59,6 +60,7 @@ N = normal("url")
 OUTCOME = """CASE WHEN status_code IN (401, 403, 407, 429, 503, 999) THEN 'final'
   WHEN coalesce(network_error, false) OR status_code >= 400 OR status_code IS NULL THEN 'retry' WHEN html IS NULL THEN 'skip' ELSE 'parse' END"""
 
+#: Phrases that tell boilerplate.
 BOILERPLATE = (
     "cookie policy|privacy policy|terms of service|all rights reserved|subscribe to our newsletter|follow us on|share this|read more|click here|learn more|"
     "contact us|about us|home page|skip to content|back to top|copyright"
@@ -128,6 +130,16 @@ KNN_CHUNKS = """WITH v AS (SELECT chunk_id, CAST(embedding_vector AS DOUBLE[]) A
 d AS (SELECT q.chunk_id AS query, v.chunk_id, list_distance(q.e, v.e) AS x FROM v q, v WHERE q.chunk_id % 100 = 0),
 t AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY x, chunk_id) AS rank FROM d QUALIFY rank <= 5) """
 
+#: The states of a job, then two that are none.
+JOB_STATE = "['discovered', 'queued', 'running', 'completed', 'failed', 'retrying', 'skipped', 'fetching', ''][url_id % 9 + 1]"
+JOB = "length(domain) > 0 AND depth >= 0 AND length(url_hash) > 0 AND url_id % 9 < 7"
+
+ROBOT_SECTIONS = f"""WITH s AS (SELECT domain, {path("url")} AS p, regexp_extract(url, '://[^/]+(/[^/?#]+/)', 1) AS section FROM urls WHERE domain IS NOT NULL),
+e AS (SELECT domain, section, min(p) AS opened, count(*) AS n FROM s WHERE section <> '' GROUP BY ALL)"""
+ROBOT_CACHE = """r AS (SELECT domain, CAST(sum(n) % 5 AS FLOAT) AS crawl_delay_seconds, CAST(count_if(section < '/g') AS INT) AS disallow_count FROM e GROUP BY domain),
+l AS (SELECT u.domain, max(f.fetched_at) AS fetched_at FROM urls u JOIN fetch_results f ON f.url_id = u.url_id GROUP BY u.domain),
+c AS (SELECT r.domain, crawl_delay_seconds, disallow_count, fetched_at, fetched_at + INTERVAL 1 HOUR AS expires_at FROM r JOIN l ON l.domain = r.domain) """
+
 SQL: dict[str, str] = {
     "url_normalize": f"SELECT fetch_id, {N} AS normal FROM fetch_results",
     "url_fingerprint": f"SELECT fetch_id, sha256({N}) AS hash FROM fetch_results",
@@ -136,30 +148,33 @@ SQL: dict[str, str] = {
     "url_classify": """SELECT url_id, CASE WHEN regexp_matches(url, '(?i)/product|item|detail') THEN 'detail' WHEN regexp_matches(url, '(?i)page=|category|list') THEN 'listing'
   WHEN regexp_matches(url, '(?i)blog|news|article') THEN 'article' ELSE 'unknown' END AS class FROM urls""",
     "url_dedup": f"SELECT sha256({N}) AS hash, min(fetch_id) AS fetch_id, any_value({N}) AS normal, count(*) AS copies FROM fetch_results GROUP BY 1",
-    "url_frontier_new": f"SELECT DISTINCT sha256({N}) AS hash, {N} AS normal FROM fetch_results WHERE sha256({N}) NOT IN (SELECT url_hash FROM urls)",
+    "url_frontier_new": f"""SELECT DISTINCT sha256({N}) AS hash, {N} AS normal FROM fetch_results
+WHERE sha256({N}) NOT IN (SELECT url_hash FROM urls WHERE status = 'crawled') AND {N} NOT IN (SELECT url FROM urls WHERE status = 'crawled')""",
     "url_upsert": f"""WITH b AS (SELECT sha256({N}) AS h, max(fetched_at) AS at FROM fetch_results GROUP BY 1)
 SELECT coalesce(u.url_hash, b.h) AS hash, coalesce(u.depth, 0) AS depth, CASE WHEN b.h IS NULL THEN u.status ELSE 'crawling' END AS status,
   CASE WHEN b.h IS NOT NULL AND u.url_hash IS NOT NULL THEN b.at ELSE u.last_crawled_at END AS last_crawled_at FROM urls u FULL JOIN b ON b.h = u.url_hash""",
-    "url_status_latest": f"""WITH e AS (SELECT url_id, CASE WHEN {OUTCOME} IN ('parse', 'skip') THEN 'crawled' ELSE 'failed' END AS st, fetched_at AS tm FROM fetch_results),
-l AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY url_id ORDER BY tm DESC, st DESC) = 1)
-SELECT u.url_id, coalesce(l.st, u.status) AS status, CASE WHEN l.st = 'crawled' THEN l.tm ELSE u.last_crawled_at END AS last_crawled_at FROM urls u LEFT JOIN l ON l.url_id = u.url_id""",
+    "url_status_latest": f"""WITH e AS (SELECT url_id, {OUTCOME} AS o, fetched_at AS tm FROM fetch_results),
+s AS (SELECT url_id, tm, CASE WHEN o IN ('parse', 'skip') THEN 'crawled' ELSE 'failed' END AS st FROM e),
+l AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY url_id ORDER BY tm DESC, st DESC) = 1),
+t AS (SELECT url_id, max(tm) AS tm FROM e WHERE o = 'parse' GROUP BY url_id)
+SELECT u.url_id, coalesce(l.st, u.status) AS status, coalesce(t.tm, u.last_crawled_at) AS last_crawled_at FROM urls u LEFT JOIN l ON l.url_id = u.url_id LEFT JOIN t ON t.url_id = u.url_id""",
     "fetch_outcome": f"SELECT fetch_id, {OUTCOME} AS outcome, coalesce(strlen(html) <= 5242880, false) AS readable FROM fetch_results",
     "domain_rollup": "SELECT domain, count(*) AS urls, count_if(status = 'crawled') AS crawled, count_if(status = 'failed') AS failed, count_if(status = 'pending') AS pending, max(depth) AS deepest FROM urls GROUP BY domain",
     "session_rollup": """SELECT domain, status, count(*) AS sessions, CAST(sum(pages_crawled) AS BIGINT) AS crawled, CAST(sum(pages_queued) AS BIGINT) AS queued, CAST(sum(pages_failed) AS BIGINT) AS failed,
   max(CAST(floor(epoch_us(completed_at) / 1000000) AS BIGINT) - CAST(floor(epoch_us(started_at) / 1000000) AS BIGINT)) AS longest_s FROM crawl_sessions GROUP BY ALL""",
     "latest_pages": "SELECT url_id, page_id, fetched_at, title, quality_score FROM pages QUALIFY row_number() OVER (PARTITION BY url_id ORDER BY fetched_at DESC NULLS LAST, page_id) = 1",
-    "orphan_rows": """SELECT 'pages' AS child, page_id AS id FROM pages WHERE url_id IS NULL OR url_id NOT IN (SELECT url_id FROM urls)
-UNION ALL SELECT 'chunks', chunk_id FROM chunks WHERE url_id IS NULL OR url_id NOT IN (SELECT url_id FROM urls)
-UNION ALL SELECT 'fetch_results', fetch_id FROM fetch_results WHERE url_id IS NULL OR url_id NOT IN (SELECT url_id FROM urls)""",
-    "cascade_delete": "SELECT page_id, url_id FROM pages WHERE url_id NOT IN (SELECT url_id FROM urls WHERE status = 'disallowed')",
+    "orphan_rows": """SELECT 'pages' AS child, page_id AS id FROM pages WHERE url_id IS NULL OR url_id NOT IN (SELECT url_id FROM urls WHERE status <> 'failed')
+UNION ALL SELECT 'chunks', chunk_id FROM chunks WHERE url_id IS NULL OR url_id NOT IN (SELECT url_id FROM urls WHERE status <> 'failed')
+UNION ALL SELECT 'fetch_results', fetch_id FROM fetch_results WHERE url_id IS NULL OR url_id NOT IN (SELECT url_id FROM urls WHERE status <> 'failed')""",
+    "cascade_delete": "SELECT page_id, url_id FROM pages WHERE url_id NOT IN (SELECT url_id FROM urls WHERE depth >= 2)",
     "links_extract": LINKS + "SELECT fetch_id, position, link FROM l",
     "links_filter": LINKS + f"SELECT fetch_id, link FROM l WHERE {KEPT}",
     "link_edges": "SELECT from_url_id, to_url_id, min(discovered_at) AS discovered_at FROM links GROUP BY ALL",
     "link_degree": """WITH e AS (SELECT DISTINCT from_url_id AS a, to_url_id AS b FROM links WHERE from_url_id <> to_url_id)
 SELECT url_id, CAST(sum(o) AS BIGINT) AS out_degree, CAST(sum(i) AS BIGINT) AS in_degree FROM (SELECT a AS url_id, 1 AS o, 0 AS i FROM e UNION ALL SELECT b, 0, 1 FROM e) GROUP BY url_id""",
     "children_queued": LINKS + f""", n AS (SELECT DISTINCT fetch_id, sha256({normal("link")}) AS h FROM l WHERE {KEPT})
-SELECT fetch_id, count(*) AS followed, count(u.url_hash) AS deduped, count(*) - count(u.url_hash) AS queued FROM n LEFT JOIN urls u ON u.url_hash = n.h GROUP BY fetch_id""",
-    "crawl_bfs": """WITH RECURSIVE w AS (SELECT url_id, 0 AS depth FROM urls WHERE depth = 0 AND url_id % 100 = 1
+SELECT fetch_id, count(*) AS followed, count(u.url_hash) AS deduped, count(*) - count(u.url_hash) AS queued FROM n LEFT JOIN urls u ON u.url_hash = n.h AND u.status = 'crawled' GROUP BY fetch_id""",
+    "crawl_bfs": """WITH RECURSIVE w AS (SELECT url_id, 0 AS depth FROM urls WHERE depth = 0
   UNION SELECT l.to_url_id, w.depth + 1 FROM w JOIN links l ON l.from_url_id = w.url_id WHERE w.depth < 3)
 SELECT url_id, min(depth) AS depth FROM w GROUP BY url_id""",
     "needs_js": f"""WITH t AS (SELECT *, {units(trim(f"regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '{WS}+', ' ', 'g')"))} AS n FROM fetch_results)
@@ -224,16 +239,45 @@ SELECT fetch_id, failures, healthy FROM w""",
  'Mozilla/5.0 (Macintosh; Intel Mac OS X 14_4_1) AppleWebKit/605.1.15 (KHTML, like Gecko) Version/17.4.1 Safari/605.1.15',
  'Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/124.0.0.0 Safari/537.36 Edg/124.0.0.0'][fetch_id % 7 + 1] AS user_agent,
  ['en-US,en;q=0.9', 'en-GB,en;q=0.9', 'en-US,en;q=0.8,es;q=0.5', 'en-CA,en;q=0.9,fr;q=0.7'][fetch_id % 4 + 1] AS accept_language FROM fetch_results""",
-    "crawl_jobs": "SELECT sha256('s|' || url_hash) AS job_id, url_hash, domain, depth FROM urls WHERE domain IS NOT NULL AND depth >= 0 AND depth < 3 AND length(url_hash) > 0",
+    "crawl_jobs": f"SELECT sha256('s|' || url_hash) AS job_id, url_hash, domain, depth, {JOB_STATE} AS state FROM urls WHERE {JOB} AND depth < 3",
+    "dispatch_jobs": f"SELECT job_id, row_number() OVER (ORDER BY depth, job_id) AS place, 'queued' AS state FROM (SELECT sha256('s|' || url_hash) AS job_id, depth FROM urls WHERE {JOB})",
+    "links_rules": f"""WITH r AS (SELECT url_id, split_part(url, '?', 1) || ['', '#top', '/file.PDF', '/login', '?next=/cart', '#/cloud', '/accounts', '/logo.svg?v=2', '/register-now', '/a.html#part'][url_id % 10 + 1] AS link,
+  CASE WHEN url_id % 7 = 0 THEN 'elsewhere.example' ELSE domain END AS site FROM urls WHERE domain IS NOT NULL)
+SELECT url_id, link FROM r WHERE {part("link", 1)} IN ('http', 'https') AND {host("link")} = site AND NOT ({path("link")} = '/' AND {part("link", 5)} <> '' AND NOT starts_with({part("link", 5)}, '#/'))
+  AND lower(regexp_extract({part("link", 3)}, '\\.([^.]*)$', 1)) NOT IN ('pdf', 'zip', 'gz', 'tar', 'rar', 'jpg', 'jpeg', 'png', 'gif', 'webp', 'svg', 'ico', 'mp4', 'mp3', 'webm', 'ogg', 'css', 'js', 'json', 'xml', 'woff', 'woff2', 'ttf', 'eot')
+  AND NOT regexp_matches({part("link", 3)} || {part("link", 4)}, '(?i)/(login|logout|signin|signup|register|auth|account|cart|checkout)\\b')""",
+    "robots_sites": ROBOT_SECTIONS + f"""SELECT u.url_id, EXISTS (SELECT 1 FROM e WHERE e.domain = u.h AND e.section < '/g' AND starts_with(u.p, e.opened))
+  OR NOT EXISTS (SELECT 1 FROM e WHERE e.domain = u.h AND e.section < '/g' AND starts_with(u.p, e.section)) AS allowed FROM (SELECT url_id, {host("url")} AS h, {path("url")} AS p FROM urls) u""",
+    "robots_cached": ROBOT_SECTIONS + ", " + ROBOT_CACHE + "SELECT * FROM c",
+    "robots_due": ROBOT_SECTIONS + ", " + ROBOT_CACHE + """SELECT DISTINCT domain FROM urls WHERE domain IS NOT NULL
+  AND domain NOT IN (SELECT domain FROM c WHERE expires_at > (SELECT max(fetched_at) FROM fetch_results) - INTERVAL 24 HOURS)""",
+    "sitemap_new": f"""WITH u AS (SELECT domain, depth, status, {host("url")} AS h, {N} AS n FROM urls WHERE domain IS NOT NULL),
+d AS (SELECT DISTINCT domain, n FROM u WHERE h = domain AND domain IN (SELECT domain FROM u WHERE depth = 0) AND n NOT IN (SELECT n FROM u WHERE status = 'crawled'))
+SELECT domain, n AS normal, sha256(n) AS hash, 1 AS depth FROM d QUALIFY row_number() OVER (PARTITION BY domain ORDER BY n) <= 5000""",
+    "lock_release": """WITH RECURSIVE e AS (SELECT event_id, user_id, event_type = 'purchase' AS freed, (epoch_us(ts) // 1000) AS tm, row_number() OVER (PARTITION BY user_id ORDER BY (epoch_us(ts) // 1000), event_id) AS n FROM events),
+w AS (SELECT event_id, user_id, n, CASE WHEN NOT freed THEN tm END AS held, NOT freed AS granted FROM e WHERE n = 1
+  UNION ALL SELECT e.event_id, e.user_id, e.n, CASE WHEN e.freed THEN NULL WHEN w.held IS NULL OR e.tm >= w.held + 36000000 THEN e.tm ELSE w.held END,
+    NOT e.freed AND (w.held IS NULL OR e.tm >= w.held + 36000000) FROM w JOIN e ON e.user_id = w.user_id AND e.n = w.n + 1)
+SELECT event_id, granted FROM w""",
+    "chunk_rows": "SELECT page_id, url_id, chunk_index, total_chunks, text, token_estimate, char_start, char_end, section_heading, word_count FROM chunks",
+    "rag_documents": """SELECT chunk_id, CAST(to_json({'pageContent': text, 'metadata': {'source': url, 'domain': domain, 'title': title, 'chunkIndex': chunk_index, 'totalChunks': total_chunks,
+  'section': section_heading, 'wordCount': word_count, 'tokenEstimate': token_estimate}}) AS VARCHAR) AS document FROM chunks""",
+    "meta_fallbacks": f"""SELECT fetch_id, CAST(NULL AS VARCHAR) AS description,
+  coalesce(nullif({trim(unescape('''regexp_extract(html, '<meta name="author" content="([^"]*)"', 1)'''))}, ''), nullif({trim(unescape('''regexp_extract(html, '<span rel="author">([^<]*)<', 1)'''))}, '')) AS author,
+  nullif({trim('''regexp_extract(html, '<meta property="article:published_time" content="([^"]*)"', 1)''')}, '') AS published, CAST(NULL AS VARCHAR) AS modified, CAST(NULL AS VARCHAR) AS og_image,
+  CASE WHEN regexp_matches(html, '<html lang="') THEN regexp_extract(html, '<html lang="([^"]*)"', 1) END AS lang FROM fetch_results""",
     "latency_percentiles": "SELECT event_type, quantile_cont(value, 0.95) AS p95, quantile_cont(value, 0.99) AS p99, count(value) AS n FROM events GROUP BY event_type",
     "vector_text": "SELECT vec_id, len(embedding) AS dimensions, true AS same FROM embeddings",
     "proxy_servers": """SELECT * FROM (VALUES ('http://us%40er:p%3Ass@proxy.net:3128/', 'http://proxy.net:3128', 'us@er', 'p:ss'), ('https://proxy.net:443', 'https://proxy.net', NULL, NULL),
   ('socks5://p.net', 'socks5://p.net', NULL, NULL)) v(url, server, username, password)""",
-    "seen_links": """SELECT DISTINCT from_url_id, to_url_id FROM links WHERE from_url_id IS NULL OR to_url_id IS NULL OR from_url_id NOT IN (SELECT url_id FROM urls) OR to_url_id NOT IN (SELECT url_id FROM urls)""",
+    "seen_links": """SELECT DISTINCT from_url_id, to_url_id FROM links WHERE from_url_id IS NULL OR to_url_id IS NULL OR from_url_id NOT IN (SELECT url_id FROM urls WHERE status = 'crawled') OR to_url_id NOT IN (SELECT url_id FROM urls WHERE status = 'crawled')""",
     "table_schema": "SELECT table_name, column_name, CAST(ordinal_position - 1 AS INT) AS place FROM information_schema.columns WHERE table_name IN ('urls', 'pages', 'links', 'chunks', 'fetch_results', 'crawl_sessions')",
     "table_peek": "SELECT url_id, url, status FROM urls ORDER BY url_id LIMIT 10",
     **{f"quality_{p}": PAGE_QUALITY + f"SELECT page_id, {p}_score FROM z" for p in ("length", "density", "readability", "structure", "uniqueness", "freshness")},
     "quality_total": PAGE_QUALITY + "SELECT page_id, coalesce(total, 0) AS total, w AS word_count, s AS sentence_count, floor(w / s * 10 + 0.5) / 10 AS avg_words_per_sentence FROM z",
+    "page_rows": PAGE_QUALITY.replace("p.content AS t", f"{trim('p.content')} AS t") + """SELECT z.page_id, p.url_id, p.title, coalesce(w, 0) AS word_count, CAST(greatest(1, ceil(coalesce(w, 0) / 200)) AS INT) AS reading_time,
+  coalesce(total, 0) AS quality_score, length_score AS quality_length_score, density_score AS quality_density_score, structure_score AS quality_structure_score, z.content_type,
+  coalesce(flags, []) AS quality_flags, coalesce(total >= 25 AND z.content_type NOT IN ('error', 'navigation'), false) AS passes_quality_gate FROM z JOIN pages p ON p.page_id = z.page_id""",
     "quality_flags": PAGE_QUALITY + "SELECT page_id, coalesce(flags, []) AS flags FROM z",
     "quality_type": PAGE_QUALITY + "SELECT page_id, content_type FROM z",
     "quality_gate": PAGE_QUALITY + "SELECT page_id, coalesce(total, 0) AS total, content_type, coalesce(total >= 25 AND content_type NOT IN ('error', 'navigation'), false) AS passes FROM z",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -26,18 +28,39 @@ def build_session(app: str = "webloom", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+#: What ``materialize`` has written and ``release`` has not removed yet.
+_WRITTEN: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``); one of our own only where none is set."""
+    """The cluster's shared folder (``spark.checkpoint.dir``); a folder of our own only in local mode, where one machine is all there is."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="webloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder
+    master = spark.sparkContext.master
+    if not master.startswith("local"):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
+    own = tempfile.mkdtemp(prefix="webloom-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    spark.conf.set("spark.checkpoint.dir", f"file://{own}")
+    return f"file://{own}"
+
+
+def release(spark: SparkSession) -> int:
+    """Remove the intermediate results of this session, once what was built on them has been written; how many there were."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    count = len(_WRITTEN)
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(conf).delete(path, True)
+    return count
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: lineage ends here and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -35,8 +35,31 @@ def read_jdbc(spark: SparkSession, url: str, table: str, key: str, low: int, hig
     return spark.read.jdbc(url, table, column=key, lowerBound=low, upperBound=high, numPartitions=partitions, properties=options)
 
 
+#: The largest body that is read, and the seconds after which a fetch is given up.
+MAX_BODY, TIMEOUT_S = 5_242_880, 30.0
+
+
+def guard(record: dict, seconds: float | None = None) -> dict:
+    """A raw fetch (url, status_code, content_type, body as bytes, declared content_length) as a record of the fetch schema.
+
+    Too slow or failed: a network error of status 0.  Status 429, no html, or a body above MAX_BODY: no
+    html, with the message that says so.  Broken UTF-8 becomes replacement characters.
+    """
+    out = {k: record.get(k) for k in ("url", "status_code", "proxy_used", "fetched_at")} | {"html": None, "network_error": False, "error_message": None, "content_length": None}
+    if record.get("network_error") or (seconds is not None and seconds > TIMEOUT_S):
+        return out | {"status_code": 0, "network_error": True, "error_message": record.get("error_message") or f"no answer within {TIMEOUT_S:g} s"}
+    if record.get("status_code") == 429:
+        return out | {"error_message": "RATE_LIMITED", "proxy_used": None}
+    kind, body = record.get("content_type") or "", record.get("body") or b""
+    if "text/html" not in kind and "application/xhtml" not in kind:
+        return out
+    if (record.get("content_length") or 0) > MAX_BODY or len(body) > MAX_BODY:
+        return out | {"error_message": "BODY_TOO_LARGE", "proxy_used": None}
+    return out | {"html": body.decode("utf-8", "replace"), "content_length": len(body)}
+
+
 def fetch_urls(urls: DataFrame, fetcher: Callable[[list[str]], list[dict]], batch: int = 100) -> DataFrame:
-    """Live fetching behind a boundary: ``fetcher`` takes URLs and returns records of the fetch schema; called in the tasks."""
+    """Live fetching behind a boundary: ``fetcher`` takes URLs and returns records of the fetch schema (see ``guard`` for raw answers); called in the tasks."""
     names = [f.name for f in FETCH_RESULTS.fields if f.name not in ("fetch_id", "url_id")]
     schema = StructType([FETCH_RESULTS["url_id"], *[FETCH_RESULTS[n] for n in names]])
 

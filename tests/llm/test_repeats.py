@@ -3,6 +3,7 @@ import re
 from collections import defaultdict
 
 from webloom.llm import repeats
+from webloom.session import materialize
 
 
 def fold(line):
@@ -102,3 +103,11 @@ def test_growth_against_plain_growth(spark):
                 want.append((len(pattern), support))
     assert max(want)[0] > 2
     assert sorted((len(r.pattern), r.support) for r in found) == sorted(want)
+
+
+def test_marking_sends_nothing_through_the_driver(spark):
+    sequences = materialize(repeats.line_sequences(frame(spark, fixture()), "domain", "url_id", "page_id", "content"), "lines")
+    frequent = materialize(repeats.frequent_lines(sequences, repeats.support_needed(sequences, 4, 0.1)), "frequent")
+    found = repeats.mark(sequences, frequent)
+    assert sorted((r.key, r.no) for r in found.collect()) == plain(fixture())
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()

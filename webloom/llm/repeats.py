@@ -62,11 +62,15 @@ def frequent_lines(sequences: DataFrame, needed: DataFrame, min_documents: int =
 
 
 def mark(sequences: DataFrame, frequent: DataFrame) -> DataFrame:
-    """(key, document, source, no, a, b): occurrences of frequent lines.  Both sides are salted, so a large source spreads."""
+    """(key, document, source, no, a, b): occurrences of frequent lines.  Both sides are salted, so a large source spreads.
+
+    Spark takes the size of the salted side for that of ``frequent``, SALTS times too small, and would
+    send it to all tasks through the driver; the hint has both sides meet in a shuffle at any size.
+    """
     rows = sequences.select("key", "document", "source", F.explode("lines").alias("s")).select("key", "document", "source", "s.no", "s.a", "s.b")
     rows = rows.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)))
     side = frequent.select("source", "a", "b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
-    return rows.join(side, ["source", "a", "b", "salt"], "left_semi").drop("salt")
+    return rows.join(side.hint("merge"), ["source", "a", "b", "salt"], "left_semi").drop("salt")
 
 
 def find_repeated_lines(

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -49,6 +51,27 @@ def test_round_trip(corpus, model, lang, written, read):
     assert total > 20 and right / total > 0.85, (right, total)
 
 
+@pytest.mark.parametrize(("written", "read"), [("cp1251", "latin-1"), ("cp1251", "koi8_r"), ("koi8_r", "cp1251")])
+def test_long_passages_are_judged_whole(corpus, model, written, read):
+    restorer = encoding.Restorer(model)
+    head = "ъщэц щъцэ хъщё ёъэщ цщъэ эъщц щёцъ ъэщё цъщэ ёщъц щэъц ъцёщ эцщъ щъёэ "  # says nothing in either reading
+    body = " ".join(re.findall("[а-яё]{3,}", " ".join(r.text for r in corpus.where("lang = 'ru'").orderBy("doc_id").select("text").limit(5).collect())))[:600]
+    clean = head + body
+    bad = clean.encode(written).decode(read)
+    assert len(head) > encoding.PROBE
+    assert restorer.fix("", bad, "") == clean
+
+
+def test_characters_map_by_themselves():
+    text = "Ã©Ðàöø ÿабвґџ„…‰ \x81\x8d\x98 ║╚é"
+    for read, written in encoding.ONE_BYTE:
+        piece = "".join(c for c in text if encoding._encode(c, read) is not None)
+        raw = encoding._encode(piece, read)
+        characters = "".join(set(piece))
+        mapped = encoding._encode(characters, read).decode(written, "replace")
+        assert piece.translate(str.maketrans(characters, mapped)) == raw.decode(written, "replace")
+
+
 def test_clean_text_stays(corpus, model):
     restorer = encoding.Restorer(model)
     texts = [r.text for r in corpus.select("text").limit(400).collect()]
